@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,17 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, which every executor reaches; one of its own only where none is set, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="tessera-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
-    The folder is the session's ``spark.checkpoint.dir``, which every executor reaches. Only where
-    none is set, as in local tests, a temporary one is made.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tessera-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again: its lineage is cut and it is computed once."""
+    path = f"{shared_folder(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def id_remainder(column: str, modulus: int) -> Column:
@@ -53,6 +57,27 @@ def utf8(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+class WordHashes(dict):
+    """64-bit hash of each word met, the same in every process; emptied when full."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= 1_000_000:
+            self.clear()
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = value
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+#: Kept by each Python worker from task to task.
+word_hashes = WordHashes()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (the splitmix64 constants)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

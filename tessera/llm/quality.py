@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_remainder, in_batches, mix, utf8, word_ngrams
+from tessera.llm.common import id_remainder, in_batches, mix, utf8, word_hashes, word_ngrams
 
 BUCKETS = 1 << 18
 DIMENSIONS = 12
@@ -40,7 +40,7 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     texts = [w.decode("utf-8", "replace") for w in words]
     texts = [t if len(t) <= 64 else t[:32] + t[-32:] for t in texts]
     features, owners = [], []
-    hashes = mix(np.fromiter((hash_of(w) for w in words), np.uint64, len(words)))
+    hashes = mix(word_hashes.of(words))
     features.append(hashes % np.uint64(BUCKETS))
     owners.append(np.arange(len(words)))
     for _, grams, owner in word_ngrams(texts, NGRAMS):
@@ -49,13 +49,6 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(features).astype(np.int64), np.concatenate(owners), hashes
 
 
-def hash_of(word: bytes) -> int:
-    """A hash that is the same in every process."""
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(word)
-
-
 def pairs(hashes: np.ndarray) -> np.ndarray:
     """Buckets of the pairs of neighbouring words."""
     return (mix(hashes[:-1] * np.uint64(3) + hashes[1:]) % np.uint64(BUCKETS)).astype(np.int64)
