@@ -41,13 +41,14 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(modulus)
 
 
-def in_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply ``step`` to every Arrow batch of ``df``; a batch never holds more than 64 MB by Spark's own limit."""
+def in_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 1_000) -> DataFrame:
+    """Apply ``step`` to the rows of ``df``, ``rows`` at a time; Spark itself ends an Arrow batch at 64 MB."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := step(batch)) is not None and out.num_rows:
-                yield out
+            for begin in range(0, batch.num_rows, rows):
+                if (out := step(batch.slice(begin, rows))) is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
 
@@ -57,25 +58,41 @@ def utf8(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
-class WordHashes(dict):
-    """64-bit hash of each word met, the same in every process; emptied when full."""
+class Remembered(dict):
+    """Values made from texts, kept while they are met: when full, what was met before the last time goes.
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+    Keys of over ``longest`` characters are made anew each time.
+    """
 
-        if len(self) >= 1_000_000:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
+    def __init__(self, make: Callable, most: int = 200_000, longest: int = 64):
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
+
+    def __missing__(self, key):
+        if (value := self.old.get(key)) is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
         return value
 
+
+def _word_hash(word: bytes) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(word)
+
+
+class WordHashes(Remembered):
+    """64-bit hash of each word, the same in every process."""
+
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 #: Kept by each Python worker from task to task.
-word_hashes = WordHashes()
+word_hashes = WordHashes(_word_hash)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -24,7 +24,7 @@ RATE = 0.4
 SAMPLE = 6_000
 SAMPLE_LENGTH = 30_000
 NGRAMS = range(3, 5)
-CACHED = 800_000
+CACHED = 500_000
 SCHEMA = "doc_id bigint, score double, predicted int"
 
 

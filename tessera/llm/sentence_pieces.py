@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import in_batches, saved
+from tessera.llm.common import Remembered, in_batches, saved
 from tessera.llm.spm_model import BPE, BYTE, NORMAL, SPACE, UNKNOWN, SentencePieceModel
 
 CHUNK = 16_384
-CACHED = 1_000_000
+GIANT = 65_536
 _LOW = float("-inf")
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -49,9 +49,11 @@ class Lattice:
         self.bytes_of = bytes_of if len(bytes_of) == 256 else None
         self.unknown_score = min(self.rank.values(), default=0.0) - 10.0
         self.by_word = all(p[1] != SPACE or p[0] == SPACE for p in self.inside)
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.atoms: dict[str, tuple[tuple[int, ...], float]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.pairs = Remembered(lambda pair: "".join(pair) not in self.rank and self._merged("".join(pair)) == list(pair), 300_000)
+        self.sound = Remembered(lambda piece: self._merged(piece) == [piece], len(self.ids) + 1)
+        #: Ids and weight of the best path over a stretch without a cut inside; ids of a word.
+        self.atoms = Remembered(self._atom)
+        self.words = Remembered(self._word)
 
     # Weights
 
@@ -73,22 +75,11 @@ class Lattice:
         """Whether ``right`` may follow ``left``."""
         if not self.bpe or left is None or left[-1] + right[0] not in self.inside:
             return True
-        if (known := self.pairs.get((left, right))) is None:
-            known = left + right not in self.rank and self._merged(left + right) == [left, right]
-            if len(self.pairs) >= CACHED:
-                self.pairs.clear()
-            self.pairs[left, right] = known
-        return known
-
-    def _sound(self, piece: str) -> bool:
-        """Whether BPE makes the piece at all (some vocabularies hold pieces that no merges reach)."""
-        return not self.bpe or self.fits_alone(piece)
-
-    def fits_alone(self, piece: str) -> bool:
-        key = (piece, "")
-        if (known := self.pairs.get(key)) is None:
-            known = self.pairs[key] = self._merged(piece) == [piece]
-        return known
+        return self.pairs[left, right]
+
+    def _allowed(self, left: str | None, piece: str) -> bool:
+        """Whether a vocabulary's piece may follow; for BPE it must be one that merges reach at all."""
+        return not self.bpe or (self.sound[piece] and self.fits(left, piece))
 
     # Paths
 
@@ -104,7 +95,7 @@ class Lattice:
             for j in range(i + 1, min(stop, i + self.longest) + 1):
                 piece = text[i:j]
                 if piece in ids:
-                    if not (self._sound(piece) and self.fits(left, piece)):
+                    if not self._allowed(left, piece):
                         continue
                 elif j > i + 1:
                     if piece not in starts:
@@ -142,35 +133,21 @@ class Lattice:
         inside = self.inside
         return [0, *(i for i in range(1, len(text)) if text[i - 1 : i + 1] not in inside), len(text)]
 
-    def atom(self, text: str) -> tuple[tuple[int, ...], float]:
-        """Ids and weight of the best path over a stretch without a cut inside."""
-        if (known := self.atoms.get(text)) is None:
-            score, back = self.best(text, 0, len(text))
-            known = tuple(self.number(self.trace(text, back, 0, len(text)))), score[-1]
-            if len(text) <= 64:
-                if len(self.atoms) >= CACHED:
-                    self.atoms.clear()
-                self.atoms[text] = known
-        return known
-
-    def word(self, text: str) -> tuple[int, ...]:
-        if (known := self.words.get(text)) is None:
-            at = self.cuts(text)
-            known = tuple(chain.from_iterable(self.atom(text[a:b])[0] for a, b in zip(at, at[1:])))
-            if len(text) <= 64:
-                if len(self.words) >= CACHED:
-                    self.words.clear()
-                self.words[text] = known
-        return known
+    def _atom(self, text: str) -> tuple[tuple[int, ...], float]:
+        score, back = self.best(text, 0, len(text))
+        return tuple(self.number(self.trace(text, back, 0, len(text)))), score[-1]
+
+    def _word(self, text: str) -> tuple[int, ...]:
+        at = self.cuts(text)
+        return tuple(chain.from_iterable(self.atoms[text[a:b]][0] for a, b in zip(at, at[1:])))
 
     def normal(self, text: str, first: bool = True) -> str:
         return (SPACE if first and self.dummy and text else "") + text.replace(" ", SPACE)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text in one piece."""
-        known, get = self.words, self.word
         text = self.normal(text)
-        return list(chain.from_iterable([known[w] if w in known else get(w) for w in (_WORD.findall(text) if self.by_word else [text] if text else [])]))
+        return list(chain.from_iterable(map(self.words.__getitem__, _WORD.findall(text) if self.by_word else [text] if text else [])))
 
     # Chunks
 
@@ -189,7 +166,7 @@ class Lattice:
 
     def _middle(self, text: str) -> tuple[list[int], float]:
         at = self.cuts(text)
-        parts = [self.atom(text[a:b]) for a, b in zip(at, at[1:]) if b > a]
+        parts = [self.atoms[text[a:b]] for a, b in zip(at, at[1:]) if b > a]
         return list(chain.from_iterable(ids for ids, _ in parts)), sum(w for _, w in parts)
 
     def _into(self, text: str, score: list[float], back: list[int], start: int, before: str | None, state: tuple[int, int]) -> float:
@@ -200,7 +177,7 @@ class Lattice:
         left = before if c == start else text[back[c] : c]
         piece = text[c:d]
         known = piece in self.ids
-        if known and not (self._sound(piece) and self.fits(left, piece)):
+        if known and not self._allowed(left, piece):
             return _LOW
         return score[c] + self.weight(piece)
 
@@ -343,17 +320,17 @@ def _chunked(docs: DataFrame, model: SentencePieceModel, chunk: int) -> DataFram
     return ordered.select("doc_id", F.array_join("all.part", "").alias("text"), F.flatten("all.ids").alias("ids"))
 
 
-def encode(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, giant: int = GIANT) -> DataFrame:
     """Piece ids of every whole text: ``doc_id, text, ids``, one row for each input row.
 
-    Texts of over two chunks go through the scan, others through one lattice; both give the ids of the
+    Texts of over ``giant`` characters go through the scan, others through one lattice; both give the ids of the
     model's own encoder. Null and empty texts get no ids, null ids and repeated rows stay as they are,
     columns other than doc_id and text are ignored. Characters that are no piece become byte pieces, or
     a run of them one unknown piece where the model has no byte pieces.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    giant = F.coalesce(F.length("text"), F.lit(0)) > 2 * chunk
-    return _whole(docs.where(~giant), model).unionByName(_chunked(docs.where(giant), model, chunk))
+    long = F.coalesce(F.length("text"), F.lit(0)) > giant
+    return _whole(docs.where(~long), model).unionByName(_chunked(docs.where(long), model, chunk))
 
 
 def decode(encoded: DataFrame, model: SentencePieceModel) -> DataFrame:
@@ -387,7 +364,9 @@ def decode(encoded: DataFrame, model: SentencePieceModel) -> DataFrame:
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column(names.index("ids"))
-        flat, offsets = column.values.to_numpy(zero_copy_only=False).tolist(), column.offsets.to_pylist()
+        offsets = column.offsets.to_numpy()
+        flat = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False).tolist()
+        offsets = (offsets - offsets[0]).tolist()
         decoded = [None if null else text_of(flat[a:b]) for null, a, b in zip(column.is_null().to_pylist(), offsets, offsets[1:])]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.string())], names=[*names, "decoded"])
 

@@ -15,12 +15,10 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import in_batches, utf8
+from tessera.llm.common import Remembered, in_batches, utf8
 from tessera.llm.spm_model import SentencePieceModel
 
 SCHEMA = "doc_id bigint, n_words bigint, n_tokens bigint, n_unknown bigint"
-CACHED_WORDS = 1_000_000
-CACHED_LENGTH = 64
 _NONE = -1
 
 
@@ -100,30 +98,16 @@ def word_pattern() -> re.Pattern:
     return re.compile(f"[^{space}{inside}]+|[{inside}]")
 
 
-class WordCounts(dict):
-    """Word to (pieces, unknown), packed as pieces + unknown << 32; filled as words appear, emptied when full."""
+_held: dict[str, Remembered] = {}
 
-    def __init__(self, automaton: LongestMatch):
-        self.automaton = automaton
 
-    def __missing__(self, word: str) -> int:
-        n = self.automaton.count(word)
-        value = n if n else 1 + (1 << 32)
-        if len(word) <= CACHED_LENGTH:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = value
-        return value
-
-
-_held: dict[str, WordCounts] = {}
-
-
-def _counts(digest: str, starts: list[str], rest: list[str]) -> WordCounts:
+def _counts(digest: str, starts: list[str], rest: list[str]) -> Remembered:
     """One automaton for each Python worker, kept from task to task."""
     if digest not in _held:
         _held.clear()
-        _held[digest] = WordCounts(LongestMatch(starts, rest))
+        count = LongestMatch(starts, rest).count
+        # Pieces, and 1 << 32 more for a word that cannot be spelled.
+        _held[digest] = Remembered(lambda word: count(word) or 1 + (1 << 32))
     return _held[digest]
 
 
