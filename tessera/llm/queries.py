@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, language_id, quality, sentence_pieces, token_counts
+from tessera.llm import decontamination, language_id, quality, secrets, sentence_pieces, sharding, substring_dedup, token_counts, top_k
 from tessera.llm.common import table
 from tessera.llm.spm_model import SentencePieceModel
 
@@ -28,6 +28,26 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCA
     )
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other vectors of each query vector (ids divisible by 100), by integer inner product."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages that documents of smaller ids have."""
+    return substring_dedup.parse(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of 40, its slot there, and its shard of 41."""
+    return sharding.assign(table(spark, sf_dir, "documents"), 40)
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, told apart by how many sources hold them."""
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Word-piece token counts of every document."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), SentencePieceModel.load(vocabulary))
@@ -60,6 +80,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_pieces": op1_sentence_pieces,
+    "op2_top_k": op2_top_k,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_sharding": op4_sharding,
+    "op5_secrets": op5_secrets,
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,

@@ -79,6 +79,10 @@ def joined(spans: Column | str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def digests(docs: DataFrame, repository: str = "source", owner: str | None = None) -> DataFrame:
     """``scan`` for every input row: counts of each base kind, digest of base spans, all spans, and how many look live or copied."""
     spans = scan(docs, repository, owner).withColumnRenamed("doc_id", "id")
@@ -88,7 +92,7 @@ def digests(docs: DataFrame, repository: str = "source", owner: str | None = Non
     count = lambda test: F.size(F.filter("spans", test)).cast("bigint")
     return joined_rows.select(
         "doc_id",
-        *(count(lambda s, k=k: s["kind"] == k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        *(count(_of_kind(k)).alias(f"n_{k}") for k in ("assign", "access", "hex")),
         F.sha2(joined(F.filter("spans", lambda s: s["kind"] != "owned")), 256).alias("base_sha256"),
         joined("spans").alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
