@@ -1,24 +1,67 @@
-"""The corpus pipeline: five stages, each on what its predecessor kept."""
+"""The corpus pipeline: five stages, each on all that its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as
+the next one's docs.
+"""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import language_id
-from tessera.llm.common import table
+from tessera.llm import decontamination, jaccard_join, language_id, secrets, sentence_pieces
+from tessera.llm.common import saved, table
+from tessera.llm.queries import VOCABULARY
+from tessera.llm.spm_model import SentencePieceModel
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose text no language model accepts, or that hold no letter."""
+    return language_id.accepted(docs, language_id.fit(language_id.training_texts(docs, F.lit(True))))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id.
+
+    Near duplicates share 85 % of their four-word shingles, as the operator's contract has it.
+    """
+    return jaccard_join.representatives(docs)
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words that windows of test items cover go; documents go that are mostly such words."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets that look live are masked; widely copied examples stay."""
+    return secrets.masked(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and whether they give it back."""
+    model = SentencePieceModel.load(VOCABULARY)
+    both = sentence_pieces.decode(sentence_pieces.encode(docs, model), model)
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_each),
+    ("benchmark decontamination", clean_of_benchmark),
+    ("secret scans", without_secrets),
+    ("SentencePiece encoding and decoding", encoded),
+]
 
-STAGES: list = []
+#: Language models, joins to a fixed point and piece lattices are no SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages from ``documents`` to the last one's rows."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

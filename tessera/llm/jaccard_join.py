@@ -223,7 +223,7 @@ def _members(docs: DataFrame, described: DataFrame, islands: DataFrame) -> DataF
 def join(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Classes of documents linked by shingle sets of at least ``least`` % Jaccard similarity.
 
-    Returns ``doc_id, row, n_shingles, component_id, n_links``, one row for each input row. Shingles are four
+    Returns ``doc_id, row, n_shingles, component_id, n_links, class_id``, one row for each input row. Shingles are four
     words, of texts in lower case (A-Z only); a shorter text's words are one. ``component_id`` is the smallest
     id that links lead to, ``n_links`` the number of other different sets that the document's set is linked
     with. Documents without words are linked with nothing and stand alone under their own id. Null ids never
@@ -243,4 +243,19 @@ def join(docs: DataFrame, least: int = LEAST) -> DataFrame:
     rows = described.select("doc_id", "row", "node", "n").join(known, "node", "left").withColumn("class", F.coalesce("label", "node"))
     rows = saved(rows.select("doc_id", "row", "n", "class", F.coalesce("n_links", F.lit(0)).alias("n_links")))
     ids = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-    return rows.join(ids, "class", "left").select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("first_id", "doc_id").alias("component_id"), "n_links")
+    return rows.join(ids, "class", "left").select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("first_id", "doc_id").alias("component_id"), "n_links", F.col("class").alias("class_id"))
+
+
+def representatives(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``docs`` with one document of each class: the one with the smallest id, a null id only where there is no other.
+
+    Documents without words stay. Rows that share id and text are one document. All columns are kept.
+    """
+    found = join(docs, least)
+    one = found.where("class_id is not null").groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("of"))
+    alone = found.where("class_id is null").select(F.col("doc_id").isNull().alias("kept_none"), F.coalesce("doc_id", F.lit(0)).alias("kept_id"), F.col("row").alias("kept_row"))
+    kept = one.select(F.col("of.none").alias("kept_none"), F.coalesce("of.doc_id", F.lit(0)).alias("kept_id"), F.col("of.row").alias("kept_row")).unionByName(alone).distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("all"), F.col("doc_id").isNull().alias("kept_none"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("kept_id"), F.xxhash64("text").alias("kept_row"))
+    keys = ["kept_none", "kept_id", "kept_row"]
+    # The join has dealt and sorted the rows by these keys already.
+    return keyed.join(kept, keys).groupBy(*keys).agg(F.first("all").alias("all")).select("all.*")

@@ -269,6 +269,35 @@ def _scores(models: LanguageModels) -> WordScores:
     return _held[models.digest]
 
 
+def _judged(models: LanguageModels, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, cross-entropy (nan for none) and rejection of each text."""
+    cache, n = _scores(models), len(texts)
+    totals, counts = np.zeros((n, len(models.languages) + 1)), np.zeros(n, np.int64)
+    for i, text in enumerate(texts):
+        words = words_of(text) if text else []
+        if not words or not models.languages:
+            continue
+        for begin in range(0, len(words), 100_000):
+            part = words[begin : begin + 100_000]
+            if missing := set(part).difference(cache.index):
+                cache.learn(set(part) if len(cache.index) + len(missing) > CACHED else missing)
+            at = np.fromiter(map(cache.index.__getitem__, part), np.int64, len(part))
+            totals[i] += cache.rows[at].sum(axis=0, dtype=np.float64)
+        counts[i] = len(words)
+    size = totals[:, -1]
+    some = size > 0
+    language, score = np.full(n, UNKNOWN, object), np.zeros(n)
+    lowest, rejected = np.full(n, np.nan), np.ones(n, bool)
+    if some.any():
+        entropy = -totals[some, :-1] / size[some, None]
+        best = entropy.argmin(axis=1)
+        language[some] = np.array(models.languages, object)[best]
+        lowest[some] = entropy[np.arange(len(best)), best]
+        score[some] = _posterior(entropy, models.temperature)[np.arange(len(best)), best]
+        rejected[some] = lowest[some] > models.threshold(best, counts[some])
+    return language, score, lowest, rejected
+
+
 def predict(docs: DataFrame, models: LanguageModels) -> DataFrame:
     """``doc_id, lang_pred, score, cross_entropy, rejected`` of every whole text.
 
@@ -281,37 +310,23 @@ def predict(docs: DataFrame, models: LanguageModels) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(models)  # a few MB: the sample bounds the n-grams
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        models = shared.value
-        cache = _scores(models)
-        n = batch.num_rows
-        totals, counts = np.zeros((n, len(models.languages) + 1)), np.zeros(n, np.int64)
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            words = words_of(text) if text else []
-            if not words or not models.languages:
-                continue
-            for begin in range(0, len(words), 100_000):
-                part = words[begin : begin + 100_000]
-                if missing := set(part).difference(cache.index):
-                    cache.learn(set(part) if len(cache.index) + len(missing) > CACHED else missing)
-                at = np.fromiter(map(cache.index.__getitem__, part), np.int64, len(part))
-                totals[i] += cache.rows[at].sum(axis=0, dtype=np.float64)
-            counts[i] = len(words)
-        size = totals[:, -1]
-        some = size > 0
-        entropy = -totals[some, :-1] / size[some, None]
-        best = entropy.argmin(axis=1) if len(models.languages) else np.zeros(0, np.int64)
-        language, score = np.full(n, UNKNOWN, object), np.zeros(n)
-        language[some] = np.array(models.languages, object)[best] if some.any() else UNKNOWN
-        lowest, rejected = np.full(n, np.nan), np.ones(n, bool)
-        if some.any():
-            lowest[some] = entropy[np.arange(len(best)), best]
-            score[some] = _posterior(entropy, models.temperature)[np.arange(len(best)), best]
-            rejected[some] = lowest[some] > models.threshold(best, counts[some])
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(language, pa.string()), pa.array(score), pa.array(lowest, mask=~some), pa.array(rejected)], names=["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
+        language, score, lowest, rejected = _judged(shared.value, batch.column("text").to_pylist())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(language, pa.string()), pa.array(score), pa.array(lowest, mask=np.isnan(lowest)), pa.array(rejected)], names=["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
 
     return in_batches(docs.select("doc_id", "text"), step, SCHEMA)
 
 
+def accepted(docs: DataFrame, models: LanguageModels) -> DataFrame:
+    """``docs`` without the rows that ``predict`` rejects; all columns are kept as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    at = docs.columns.index("text")
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(~_judged(shared.value, batch.column(at).to_pylist())[3]))
+
+    return in_batches(docs, step, docs.schema)
+
+
 def identify(docs: DataFrame, folds: int = 5, held_out: int = 0) -> DataFrame:
     """Learn from the rows outside the held-out fold of ids, and predict every row; adds ``held_out``."""
     models = fit(training_texts(docs, id_remainder("doc_id", folds) != held_out))

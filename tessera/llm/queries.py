@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, language_id, quality, secrets, sentence_pieces, sharding, substring_dedup, token_counts, top_k
+from tessera.llm import decontamination, jaccard_join, language_id, quality, secrets, sentence_pieces, sharding, substring_dedup, token_counts, top_k
 from tessera.llm.common import table
 from tessera.llm.spm_model import SentencePieceModel
 
@@ -72,6 +72,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under exact links of 85 % of four-word shingles, and its number of links."""
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from four of five folds of ids."""
     found = language_id.identify(table(spark, sf_dir, "documents"))
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 

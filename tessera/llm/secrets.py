@@ -98,3 +98,23 @@ def digests(docs: DataFrame, repository: str = "source", owner: str | None = Non
         count(lambda s: s["live"]).alias("n_live"),
         count(lambda s: ~s["live"]).alias("n_copied"),
     )
+
+
+def masked(docs: DataFrame, repository: str = "source", owner: str | None = None, mask: str = "<secret>") -> DataFrame:
+    """``docs`` with ``mask`` in place of every span that looks live; touching spans get one mask.
+
+    Copied examples stay, texts without live spans are unchanged, null texts too. All columns are kept.
+    """
+    live = scan(docs, repository, owner).select(F.col("doc_id").alias("masked_id"), F.col("row").alias("masked_row"), F.filter("spans", lambda s: s["live"]).alias("masked_spans")).where(F.size("masked_spans") > 0)
+    rows = docs.withColumns({"own_id": F.col("doc_id").cast("bigint"), "own_row": F.xxhash64("text")})
+    rows = rows.join(live, F.col("own_id").eqNullSafe(F.col("masked_id")) & (F.col("own_row") == F.col("masked_row")), "left")
+    text, start = F.col("text"), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def add(done: Column, span: Column) -> Column:
+        apart = span["start"] >= done["at"]
+        more = F.when(apart, F.array(F.substring(text, done["at"] + 1, span["start"] - done["at"]), F.lit(mask))).otherwise(F.array().cast("array<string>"))
+        return F.struct(F.greatest(done["at"], span["stop"]).alias("at"), F.concat(done["parts"], more).alias("parts"))
+
+    rest = lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text)))
+    new = F.when(F.col("masked_spans").isNull(), text).otherwise(F.aggregate("masked_spans", start, add, rest))
+    return rows.withColumn("text", new).select(*docs.columns)
