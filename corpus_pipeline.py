@@ -42,9 +42,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether they give it back."""
-    model = SentencePieceModel.load(VOCABULARY)
-    both = sentence_pieces.decode(sentence_pieces.encode(docs, model), model)
-    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+    both = sentence_pieces.round_trip(docs, SentencePieceModel.load(VOCABULARY))
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -17,15 +17,8 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Encode every document, decode the ids again: ``doc_id, n_pieces, ids_xxh64, n_decoded, round_trip``."""
-    model = SentencePieceModel.load(vocabulary)
-    both = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), model), model)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_pieces"),
-        F.xxhash64("ids").alias("ids_xxh64"),
-        F.length("decoded").cast("bigint").alias("n_decoded"),
-        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"),
-    )
+    both = sentence_pieces.round_trip(table(spark, sf_dir, "documents"), SentencePieceModel.load(vocabulary))
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_xxh64"), "n_decoded", "round_trip")
 
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,9 +22,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.llm.common import Remembered, in_batches, saved
-from tessera.llm.spm_model import BPE, BYTE, NORMAL, SPACE, UNKNOWN, SentencePieceModel
+from tessera.llm.spm_model import BPE, BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, SentencePieceModel
 
 CHUNK = 16_384
 GIANT = 65_536
@@ -49,11 +50,11 @@ class Lattice:
         self.bytes_of = bytes_of if len(bytes_of) == 256 else None
         self.unknown_score = min(self.rank.values(), default=0.0) - 10.0
         self.by_word = all(p[1] != SPACE or p[0] == SPACE for p in self.inside)
-        self.pairs = Remembered(lambda pair: "".join(pair) not in self.rank and self._merged("".join(pair)) == list(pair), 300_000)
+        self.pairs = Remembered(lambda pair: "".join(pair) not in self.rank and self._merged("".join(pair)) == list(pair), 200_000)
         self.sound = Remembered(lambda piece: self._merged(piece) == [piece], len(self.ids) + 1)
         #: Ids and weight of the best path over a stretch without a cut inside; ids of a word.
-        self.atoms = Remembered(self._atom)
-        self.words = Remembered(self._word)
+        self.atoms = Remembered(self._atom, 100_000)
+        self.words = Remembered(self._word, 150_000)
 
     # Weights
 
@@ -133,7 +134,44 @@ class Lattice:
         inside = self.inside
         return [0, *(i for i in range(1, len(text)) if text[i - 1 : i + 1] not in inside), len(text)]
 
+    def _only(self, text: str) -> list[str]:
+        """The one path of weight 0 of a BPE model: long pieces first, never twice into the same state."""
+        ids, starts, pairs, sound, inside, end = self.ids, self.starts, self.pairs, self.sound, self.inside, len(text)
+        path: list[str] = []
+        dead: set[tuple[int, str]] = set()
+        at, options = 0, [[]]
+        left = ""
+
+        def pieces(i: int) -> list[str]:
+            found = [text[i : i + 1]]
+            for j in range(i + 2, min(end, i + self.longest) + 1):
+                piece = text[i:j]
+                if piece not in starts:
+                    break
+                if piece in ids and sound[piece]:
+                    found.append(piece)
+            return found
+
+        options[0] = pieces(0)
+        while at < end:
+            while options[-1]:
+                piece = options[-1].pop()
+                if left and left[-1] + piece[0] in inside and not pairs[left, piece] or (at + len(piece), piece) in dead:
+                    continue
+                path.append(piece)
+                at, left = at + len(piece), piece
+                options.append(pieces(at) if at < end else [])
+                break
+            else:
+                options.pop()
+                dead.add((at, left))
+                at -= len(path.pop())
+                left = path[-1] if path else ""
+        return path
+
     def _atom(self, text: str) -> tuple[tuple[int, ...], float]:
+        if self.bpe:
+            return tuple(self.number(self._only(text))), 0.0
         score, back = self.best(text, 0, len(text))
         return tuple(self.number(self.trace(text, back, 0, len(text)))), score[-1]
 
@@ -258,6 +296,10 @@ def _ids(rows: list[list[int]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _is_long(giant: int):
+    return F.coalesce(F.length("text"), F.lit(0)) > giant
+
+
 def _whole(docs: DataFrame, model: SentencePieceModel) -> DataFrame:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         encode = lattice(model).encode
@@ -329,22 +371,19 @@ def encode(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, giant
     a run of them one unknown piece where the model has no byte pieces.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    long = F.coalesce(F.length("text"), F.lit(0)) > giant
-    return _whole(docs.where(~long), model).unionByName(_chunked(docs.where(long), model, chunk))
+    return _whole(docs.where(~_is_long(giant)), model).unionByName(_chunked(docs.where(_is_long(giant)), model, chunk))
 
 
-def decode(encoded: DataFrame, model: SentencePieceModel) -> DataFrame:
-    """Adds ``decoded``: the text of each row's ``ids`` (null where they are null).
+class Decoder:
+    """Texts of ids: pieces with spaces for their marks, runs of byte pieces as UTF-8."""
 
-    Space marks become spaces and the mark that encoding puts in front goes again; runs of byte pieces
-    become characters, and the replacement character where they are no valid UTF-8.
-    """
-    names = encoded.columns
-    kinds = [kind for _, _, kind in model.pieces]
-    texts = ["" if kind != NORMAL else text for text, _, kind in model.pieces]
-    values = {i: int(t[3:5], 16) for i, (t, _, kind) in enumerate(model.pieces) if kind == BYTE}
+    def __init__(self, model: SentencePieceModel):
+        self.texts = ["" if kind in (CONTROL, BYTE) else " ⁇ " if kind == UNKNOWN else text for text, _, kind in model.pieces]
+        self.values = {i: int(t[3:5], 16) for i, (t, _, kind) in enumerate(model.pieces) if kind == BYTE}
+        self.dummy = model.dummy_prefix
 
-    def text_of(ids: list[int]) -> str:
+    def text(self, ids: list[int]) -> str:
+        texts, values = self.texts, self.values
         if values.keys().isdisjoint(ids):
             out = "".join(map(texts.__getitem__, ids))
         else:
@@ -356,13 +395,24 @@ def decode(encoded: DataFrame, model: SentencePieceModel) -> DataFrame:
                 if run:
                     parts.append(run.decode("utf-8", "replace"))
                     run = bytearray()
-                parts.append(texts[i] if kinds[i] != UNKNOWN else " ⁇ ")
+                parts.append(texts[i])
             parts.append(run.decode("utf-8", "replace"))
             out = "".join(parts)
         out = out.replace(SPACE, " ")
-        return out[1:] if model.dummy_prefix and out.startswith(" ") else out
+        return out[1:] if self.dummy and out.startswith(" ") else out
+
+
+def decode(encoded: DataFrame, model: SentencePieceModel) -> DataFrame:
+    """Adds ``decoded``: the text of each row's ``ids`` (null where they are null).
+
+    Space marks become spaces and the mark that encoding puts in front goes again; runs of byte pieces
+    become characters, and the replacement character where they are no valid UTF-8.
+    """
+    encoded = encoded.drop("decoded")
+    names = encoded.columns
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        text_of = Decoder(model).text
         column = batch.column(names.index("ids"))
         offsets = column.offsets.to_numpy()
         flat = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False).tolist()
@@ -370,4 +420,25 @@ def decode(encoded: DataFrame, model: SentencePieceModel) -> DataFrame:
         decoded = [None if null else text_of(flat[a:b]) for null, a, b in zip(column.is_null().to_pylist(), offsets, offsets[1:])]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.string())], names=[*names, "decoded"])
 
-    return in_batches(encoded, step, encoded.drop("decoded").schema.add("decoded", "string"))
+    return in_batches(encoded, step, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))
+
+
+def round_trip(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, giant: int = GIANT) -> DataFrame:
+    """``encode`` and ``decode`` of every whole text: ``doc_id, ids, n_decoded, round_trip``.
+
+    ``n_decoded`` counts the characters of the decoded text, and ``round_trip`` holds where it equals the
+    text (an empty one, if null). Texts that are not giant take both ways in one pass.
+    """
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    names = ["doc_id", "ids", "n_decoded", "round_trip"]
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        encode, text_of = lattice(model).encode, Decoder(model).text
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        ids = [encode(t) for t in texts]
+        decoded = [text_of(x) for x in ids]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), _ids(ids), pa.array(list(map(len, decoded)), pa.int64()), pa.array([a == b for a, b in zip(texts, decoded)])], names=names)
+
+    whole = in_batches(docs.where(~_is_long(giant)), step, "doc_id bigint, ids array<int>, n_decoded bigint, round_trip boolean", 500)
+    long = decode(_chunked(docs.where(_is_long(giant)), model, chunk), model)
+    return whole.unionByName(long.select("doc_id", "ids", F.length("decoded").cast("bigint").alias("n_decoded"), (F.col("text") == F.col("decoded")).alias("round_trip")))
