@@ -14,9 +14,12 @@ def char_ngrams(text: Column, sizes: tuple[int, ...] = (2, 3)) -> Column:
     A padded token shorter than n gives itself, as one n-gram.
     """
 
+    def sized(padded: Column, length: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(length - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(padded, i, F.lit(n)))
+
     def of(token: Column) -> Column:
         padded, length = F.concat(F.lit(" "), token, F.lit(" ")), F.length(token) + 2
-        parts = [F.transform(F.sequence(F.lit(1), F.greatest(length - n + 1, F.lit(1))), lambda i, n=n: F.substring(padded, i, F.lit(n))) for n in sizes]
-        return F.concat(*parts)
+        return F.concat(*(sized(padded, length, n) for n in sizes))
 
     return F.flatten(F.transform(words(text), of))

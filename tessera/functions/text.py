@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Words that are replaced as whole tokens, and words that addresses drop afterwards.
 NAME_WORDS = {
@@ -32,14 +33,18 @@ ADDRESS_DROPPED = (
 SPACE = r"[\s\x0b\x1c-\x1f]+"
 
 
-@F.pandas_udf("string")
-def _folded(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
+def ascii_form(text: str | None) -> str | None:
+    return text if text is None or text.isascii() else unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
 
 
 def fold(text: Column | str) -> Column:
     """Compatibility decomposition, then ASCII only: ``é`` becomes ``e``; scripts without ASCII forms vanish."""
-    return _folded(F.col(text) if isinstance(text, str) else text)
+
+    @F.pandas_udf(StringType())
+    def folded(texts: pd.Series) -> pd.Series:
+        return texts.map(ascii_form)
+
+    return folded(F.col(text) if isinstance(text, str) else text)
 
 
 def tokens(folded: Column) -> Column:
