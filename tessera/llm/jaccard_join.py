@@ -8,11 +8,12 @@
 3. Islands are joined by document pivots: each row goes to its nearest pivot's Voronoi region and, within the
    triangle inequality's window, to those of other pivots; regions are split again until they are small, and
    inside them only rows at similar distances from the pivot are compared. Large islands are dealt out as
-   pairs of blocks of rows.
+   pairs of blocks of rows of similar size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ WIDTH = 4
 LEAST = 85
 SAMPLE = 5_000
 SAMPLE_LENGTH = 50_000
-BLOCK = 128
+BLOCK = 256
 BLOCKS = 64
 BLOCK_BYTES = 32_000_000
 EXTRA = 3
@@ -220,6 +221,31 @@ def _members(docs: DataFrame, described: DataFrame, islands: DataFrame) -> DataF
     return texts.mapInArrow(run, "label bigint, node bigint, n bigint, members binary").dropDuplicates(["node"])
 
 
+def _dealt(members: DataFrame, least: int) -> DataFrame:
+    """Members in the groups that are joined: an island, or in a large one a pair of blocks of rows.
+
+    Sizes of linked sets differ by a factor of at most 100 / least, the triangle inequality's window around
+    the empty set under symmetric difference. So a large island's rows are dealt by the logarithm of their
+    size, and only blocks of the same or the next step meet. Every pair of rows meets in one group.
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / least) * (1 + 1e-9))).cast("int")
+    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("total"))
+    large = (F.col("k") > 2 * BLOCK) | (F.col("total") * 8 > 2 * BLOCK_BYTES)
+    rows = members.join(sizes.select("label", large.alias("large")), "label").withColumn("step", F.when(F.col("large"), step).otherwise(0))
+    steps = rows.groupBy("label", "step").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("total"))
+    blocks = F.greatest(F.least(F.ceil(F.col("k") / BLOCK), F.lit(BLOCKS)), F.ceil(F.col("total") * 8 / BLOCK_BYTES)).cast("int")
+    blocks = steps.select("label", "step", blocks.alias("blocks"))
+    beside = lambda d, name: blocks.select("label", (F.col("step") - d).alias("step"), F.col("blocks").alias(name))
+    known = blocks.join(beside(1, "above"), ["label", "step"], "left").join(beside(-1, "under"), ["label", "step"], "left").fillna(0, ["above", "under"])
+    rows = rows.drop("large").join(known.withColumn("blocks", F.col("blocks")), ["label", "step"]).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    # Blocks are numbered within a step; the upper step's follow those of the lower one.
+    counted = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    same = F.transform(counted(F.col("blocks")), lambda o: F.struct(F.col("step").alias("low"), F.least("own", o).alias("i"), F.greatest("own", o).alias("j"), F.col("own").alias("block")))
+    lower = F.transform(counted(F.col("above")), lambda o: F.struct(F.col("step").alias("low"), F.col("own").alias("i"), (F.col("blocks") + o).alias("j"), F.col("own").alias("block")))
+    upper = F.transform(counted(F.col("under")), lambda o: F.struct((F.col("step") - 1).alias("low"), o.alias("i"), (F.col("under") + F.col("own")).alias("j"), (F.col("under") + F.col("own")).alias("block")))
+    return rows.select("label", "node", "members", F.explode(F.concat(same, lower, upper)).alias("at")).select("label", "at.*", "node", "members")
+
+
 def join(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Classes of documents linked by shingle sets of at least ``least`` % Jaccard similarity.
 
@@ -232,11 +258,8 @@ def join(docs: DataFrame, least: int = LEAST) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
     described = saved(_described(docs, common_shingles(docs), least))
     members = saved(_members(docs, described, _islands(described, least)))
-    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("total"))
-    blocks = F.greatest(F.least(F.ceil(F.col("k") / BLOCK), F.lit(BLOCKS)), F.ceil(F.col("total") * 8 / BLOCK_BYTES)).cast("int")
-    dealt = members.join(sizes.select("label", blocks.alias("blocks")), "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    found = saved(dealt.select("label", "i", "j", "block", "node", "members").groupBy("label", "i", "j").applyInArrow(lambda table: _joined(table, least), "a bigint, b bigint, links bigint"))
+    groups = _dealt(members, least).groupBy("label", "low", "i", "j")
+    found = saved(groups.applyInArrow(lambda table: _joined(table, least), "a bigint, b bigint, links bigint"))
     classes = components(found.where("a <> b").select("a", "b"))
     counts = found.where("a = b").groupBy("a").agg(F.sum("links").alias("n_links"))
     known = classes.join(counts, classes["node"] == counts["a"], "left").select("node", "label", "n_links")
