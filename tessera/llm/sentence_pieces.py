@@ -50,11 +50,12 @@ class Lattice:
         self.bytes_of = bytes_of if len(bytes_of) == 256 else None
         self.unknown_score = min(self.rank.values(), default=0.0) - 10.0
         self.by_word = all(p[1] != SPACE or p[0] == SPACE for p in self.inside)
-        self.pairs = Remembered(lambda pair: "".join(pair) not in self.rank and self._merged("".join(pair)) == list(pair), 200_000)
-        self.sound = Remembered(lambda piece: self._merged(piece) == [piece], len(self.ids) + 1)
+        self.pairs = Remembered(lambda pair: "".join(pair) not in self.rank and self._merged("".join(pair)) == list(pair), 300_000)
+        #: Pieces that merges reach at all; some BPE vocabularies hold others.
+        self.good = {piece for piece in self.ids if not self.bpe or self._merged(piece) == [piece]}
         #: Ids and weight of the best path over a stretch without a cut inside; ids of a word.
-        self.atoms = Remembered(self._atom, 100_000)
-        self.words = Remembered(self._word, 150_000)
+        self.atoms = Remembered(self._atom, 300_000)
+        self.words = Remembered(self._word, 350_000)
 
     # Weights
 
@@ -80,7 +81,7 @@ class Lattice:
 
     def _allowed(self, left: str | None, piece: str) -> bool:
         """Whether a vocabulary's piece may follow; for BPE it must be one that merges reach at all."""
-        return not self.bpe or (self.sound[piece] and self.fits(left, piece))
+        return not self.bpe or (piece in self.good and self.fits(left, piece))
 
     # Paths
 
@@ -135,38 +136,33 @@ class Lattice:
         return [0, *(i for i in range(1, len(text)) if text[i - 1 : i + 1] not in inside), len(text)]
 
     def _only(self, text: str) -> list[str]:
-        """The one path of weight 0 of a BPE model: long pieces first, never twice into the same state."""
-        ids, starts, pairs, sound, inside, end = self.ids, self.starts, self.pairs, self.sound, self.inside, len(text)
+        """The one path of weight 0 of a BPE model over a stretch without a cut: long pieces first, no state twice."""
+        good, starts, pairs, end = self.good, self.starts, self.pairs, len(text)
         path: list[str] = []
+        waiting: list[list[str]] = []
         dead: set[tuple[int, str]] = set()
-        at, options = 0, [[]]
-        left = ""
-
-        def pieces(i: int) -> list[str]:
-            found = [text[i : i + 1]]
-            for j in range(i + 2, min(end, i + self.longest) + 1):
-                piece = text[i:j]
-                if piece not in starts:
-                    break
-                if piece in ids and sound[piece]:
-                    found.append(piece)
-            return found
-
-        options[0] = pieces(0)
+        at, left = 0, ""
         while at < end:
-            while options[-1]:
-                piece = options[-1].pop()
-                if left and left[-1] + piece[0] in inside and not pairs[left, piece] or (at + len(piece), piece) in dead:
+            options, stop = [text[at]], at + 2
+            while stop <= end and (piece := text[at:stop]) in starts:
+                if piece in good:
+                    options.append(piece)
+                stop += 1
+            while True:
+                while options:
+                    piece = options.pop()
+                    if (not left or pairs[left, piece]) and not (dead and (at + len(piece), piece) in dead):
+                        break
+                else:
+                    # Nothing fits here: this state leads nowhere, so go back to the one before.
+                    dead.add((at, left))
+                    at -= len(path.pop())
+                    left, options = path[-1] if path else "", waiting.pop()
                     continue
-                path.append(piece)
-                at, left = at + len(piece), piece
-                options.append(pieces(at) if at < end else [])
                 break
-            else:
-                options.pop()
-                dead.add((at, left))
-                at -= len(path.pop())
-                left = path[-1] if path else ""
+            path.append(piece)
+            waiting.append(options)
+            at, left = at + len(piece), piece
         return path
 
     def _atom(self, text: str) -> tuple[tuple[int, ...], float]:
@@ -176,8 +172,12 @@ class Lattice:
         return tuple(self.number(self.trace(text, back, 0, len(text)))), score[-1]
 
     def _word(self, text: str) -> tuple[int, ...]:
-        at = self.cuts(text)
-        return tuple(chain.from_iterable(self.atoms[text[a:b]][0] for a, b in zip(at, at[1:])))
+        inside, atoms, out, begin = self.inside, self.atoms, [], 0
+        for i in range(1, len(text)):
+            if text[i - 1 : i + 1] not in inside:
+                out += atoms[text[begin:i]][0]
+                begin = i
+        return tuple(out + list(atoms[text[begin:]][0]))
 
     def normal(self, text: str, first: bool = True) -> str:
         return (SPACE if first and self.dummy and text else "") + text.replace(" ", SPACE)
@@ -378,8 +378,13 @@ class Decoder:
     """Texts of ids: pieces with spaces for their marks, runs of byte pieces as UTF-8."""
 
     def __init__(self, model: SentencePieceModel):
+        values = {i: int(t[3:5], 16) for i, (t, _, kind) in enumerate(model.pieces) if kind == BYTE}
         self.texts = ["" if kind in (CONTROL, BYTE) else " ⁇ " if kind == UNKNOWN else text for text, _, kind in model.pieces]
-        self.values = {i: int(t[3:5], 16) for i, (t, _, kind) in enumerate(model.pieces) if kind == BYTE}
+        # A byte below 128 is a character by itself; only the others have to be put together.
+        for i, value in values.items():
+            if value < 128:
+                self.texts[i] = chr(value)
+        self.values = {i: value for i, value in values.items() if value >= 128}
         self.dummy = model.dummy_prefix
 
     def text(self, ids: list[int]) -> str:
