@@ -20,6 +20,7 @@ from tessera.llm.spm_model import SentencePieceModel
 
 SCHEMA = "doc_id bigint, n_words bigint, n_tokens bigint, n_unknown bigint"
 _NONE = -1
+_FOUR_BYTES = (b"\xf0", b"\xf1", b"\xf2", b"\xf3", b"\xf4")
 
 
 def word_piece_vocabulary(model: SentencePieceModel) -> tuple[list[str], list[str]]:
@@ -89,15 +90,26 @@ class LongestMatch:
 
 
 @cache
-def word_pattern() -> re.Pattern:
-    """Runs without white space or punctuation, or single punctuation characters."""
-    chars = map(chr, range(sys.maxunicode + 1))
+def word_pattern(last: int = sys.maxunicode) -> re.Pattern:
+    """Runs without white space or punctuation, or single punctuation characters, of texts up to a code point.
+
+    Patterns of all code points test the ones beyond 16 bits range by range, so shorter ones pay off.
+    """
+    chars = map(chr, range(last + 1))
     punctuation = [c for c in chars if 33 <= ord(c) <= 47 or 58 <= ord(c) <= 64 or 91 <= ord(c) <= 96 or 123 <= ord(c) <= 126 or unicodedata.category(c)[0] == "P"]
     inside = "".join(map(re.escape, punctuation))
-    space = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+    space = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000" if last > 127 else "\\t-\\r "
     return re.compile(f"[^{space}{inside}]+|[{inside}]")
 
 
+def words_of(text: bytes | None) -> list[str]:
+    """Words of a UTF-8 text: white space parts them, each punctuation character is one of its own."""
+    if not text:
+        return []
+    last = 127 if text.isascii() else sys.maxunicode if any(b in text for b in _FOUR_BYTES) else 0xFFFF
+    return word_pattern(last).findall(text.decode("utf-8", "replace"))
+
+
 _held: dict[str, Remembered] = {}
 
 
@@ -107,7 +119,7 @@ def _counts(digest: str, starts: list[str], rest: list[str]) -> Remembered:
         _held.clear()
         count = LongestMatch(starts, rest).count
         # Pieces, and 1 << 32 more for a word that cannot be spelled.
-        _held[digest] = Remembered(lambda word: count(word) or 1 + (1 << 32))
+        _held[digest] = Remembered(lambda word: count(word) or 1 + (1 << 32), 400_000)
     return _held[digest]
 
 
@@ -124,10 +136,10 @@ def count_tokens(docs: DataFrame, model: SentencePieceModel) -> DataFrame:
     digest = model.digest
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        find, counts = word_pattern().findall, _counts(digest, starts, rest)
+        counts = _counts(digest, starts, rest)
         words, tokens, unknown = [], [], []
         for text in utf8(batch, "text"):
-            found = find(text.decode("utf-8", "replace")) if text else []
+            found = words_of(text)
             packed = sum(map(counts.__getitem__, found))
             words.append(len(found))
             tokens.append(packed & 0xFFFFFFFF)
