@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -30,9 +31,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: its lineage is cut and it is computed once."""
+    """``df`` written as a table in the shared folder and read again: its lineage is cut and it is computed once.
+
+    Shuffle files go when the driver collects the plans that made them as garbage, so it is asked to.
+    """
     path = f"{shared_folder(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -84,15 +90,29 @@ def _word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-class WordHashes(Remembered):
-    """64-bit hash of each word, the same in every process."""
+_slots: dict[str, tuple[object, object]] = {}
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+def held(kind: str, key: object, make: Callable, beside: tuple[str, ...] = ()):
+    """What a Python worker keeps from task to task under ``kind``, made anew when ``key`` changes.
 
-#: Kept by each Python worker from task to task.
-word_hashes = WordHashes(_word_hash)
+    All kinds but this one and ``beside`` go, so a worker that serves several operators in turn holds one's.
+    """
+    slot = _slots.get(kind)
+    if slot is None or slot[0] != key:
+        for other in [k for k in _slots if k not in beside]:
+            del _slots[other]
+        slot = _slots[kind] = key, make()
+    elif len(_slots) > 1:
+        for other in [k for k in _slots if k != kind and k not in beside]:
+            del _slots[other]
+    return slot[1]
+
+
+def hash_words(words: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word, the same in every process."""
+    known = held("words", None, lambda: Remembered(_word_hash), ("quality",))
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

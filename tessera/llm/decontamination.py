@@ -14,10 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import in_batches, utf8
+from tessera.llm.common import held, in_batches, utf8
 
 WINDOW = 10
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 1_000_000
 SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:int,stop:int>>"
 _KEEP = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c > 127 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
 
@@ -151,15 +151,9 @@ class ItemAutomaton:
         return [(a, b) for a, b in spans], items
 
 
-_held: dict[str, ItemAutomaton] = {}
-
-
 def _automaton(key: str, items: list[tuple[str, bytes]], window: int) -> ItemAutomaton:
     """Built once in each Python worker from the items' texts."""
-    if key not in _held:
-        _held.clear()
-        _held[key] = ItemAutomaton([(name, words_of(text)) for name, text in items], window)
-    return _held[key]
+    return held("items", key, lambda: ItemAutomaton([(name, words_of(text)) for name, text in items], window))
 
 
 def _blocks(benchmark: DataFrame, most: int) -> list[list[tuple[str, bytes]]]:
@@ -174,6 +168,11 @@ def _blocks(benchmark: DataFrame, most: int) -> list[list[tuple[str, bytes]]]:
     return blocks
 
 
+def _rows(blocks: list) -> int:
+    """Rows at a time: a whole batch where automata have to be built for each."""
+    return 1_000 if len(blocks) < 2 else 1_000_000
+
+
 def _merged(rows: list) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(rows):
@@ -191,7 +190,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     each input row. A window is ``window`` consecutive words of an item, or all words of a shorter one.
     Null and empty texts have no words, null items none either; a null item id counts as ``null``, items
     that share an id as one. Repeated rows repeat, other columns are ignored. Test items come in blocks of
-    bounded size, and each block's automaton takes the documents one after another in the same pass.
+    bounded size. Each block's automaton takes the rows of a batch one after another; with more than one
+    block it is built again for each batch, so memory stays that of one.
     """
     blocks = _blocks(benchmark, block_bytes)
     shared = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]  # block_bytes each
@@ -211,7 +211,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(list(map(len, words)), pa.int64()), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], kind)], names=["doc_id", "n_words", "n_hit", "items", "spans"])
 
-    return in_batches(docs.select("doc_id", "text"), step, SCHEMA)
+    return in_batches(docs.select("doc_id", "text"), step, SCHEMA, _rows(blocks))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.5, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -252,4 +252,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.
         columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
         return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
 
-    return in_batches(docs, step, docs.schema)
+    return in_batches(docs, step, docs.schema, _rows(blocks))

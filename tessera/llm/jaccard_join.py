@@ -2,9 +2,9 @@
 
 1. Far pairs are cut off with pivots of one shingle each, in one order of all shingles. Two linked sets share
    enough of their first shingles, so a document only has to go to the regions of those; a document that
-   meets too few others there has no link. Document pivots cannot do this step: unrelated texts all lie at a
+   meets too few others there has no link. A second round asks more of what the first one leaves. Document pivots cannot do this step: unrelated texts all lie at a
    distance of about 1 from each other, where the triangle inequality tells nothing.
-2. What is left falls into islands, the connected groups of shared regions; every link is inside one.
+2. What is left falls into islands, connected groups of shared regions; every link is inside one.
 3. Islands are joined by document pivots: each row goes to its nearest pivot's Voronoi region and, within the
    triangle inequality's window, to those of other pivots; regions are split again until they are small, and
    inside them only rows at similar distances from the pivot are compared. Large islands are dealt out as
@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix, rolled, saved, utf8, word_hashes
+from tessera.llm.common import hash_words, mix, rolled, saved, utf8
 from tessera.llm.components import components
 
 WIDTH = 4
@@ -31,7 +31,8 @@ SAMPLE_LENGTH = 50_000
 BLOCK = 256
 BLOCKS = 64
 BLOCK_BYTES = 32_000_000
-EXTRA = 3
+#: Percent of a set that it shows beyond what any prefix filter needs, in the first round and in the second.
+EXTRA = (3, 50)
 
 
 def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
@@ -40,7 +41,7 @@ def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     n = min(width, len(words))
-    return np.unique(mix(rolled(word_hashes.of(words), n) + np.uint64(n)))
+    return np.unique(mix(rolled(hash_words(words), n) + np.uint64(n)))
 
 
 def node_of(values: np.ndarray) -> int:
@@ -62,15 +63,28 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     return values[times >= 3]
 
 
-def _lengths(n: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """How many of its first shingles a set of size n shows, and how many of them any linked set must show too.
+def shown(values: np.ndarray, last: np.ndarray, least: int, extra: int) -> np.ndarray:
+    """The first shingles of a set, in an order that all sets share: frequent ones come last, so regions hold few sets.
 
-    A linked set holds at least least % of the n; so of any (n minus those) + l first ones of each in the same
-    order, at least l are shared. l is EXTRA % of the smaller size.
+    A linked set holds at least least % of the n. So of any (n minus those) + l first ones of each, in the
+    same order, at least l are shared; l is ``extra`` % of the smaller size, see ``_needed``.
     """
-    shown = n * (100 - least) // 100 + n * EXTRA // 100 + 1
-    smallest = -(-n * least // 100)
-    return np.minimum(n, shown), smallest * EXTRA // 100 + 1
+    count = len(values) * (100 - least) // 100 + len(values) * extra // 100 + 1
+    at = np.searchsorted(last, values)
+    late = last[np.minimum(at, len(last) - 1)] == values if len(last) else np.zeros(len(values), bool)
+    early = values[~late][:count]
+    return np.concatenate([early, values[late][: count - len(early)]])
+
+
+def _needed(least: int, extra: int) -> Column:
+    """How many of the shingles that a set of size n shows must be shown by any set linked with it."""
+    return F.floor(F.ceil(F.col("n") * least / F.lit(100)) * extra / F.lit(100)) + 1
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum(list(map(len, rows)), out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)))
 
 
 def _described(docs: DataFrame, last: np.ndarray, least: int) -> DataFrame:
@@ -87,16 +101,8 @@ def _described(docs: DataFrame, last: np.ndarray, least: int) -> DataFrame:
                     values = shingles(text)
                     nodes.append(node_of(values) if len(values) else None)
                     sizes.append(len(values))
-                    shown = int(_lengths(np.array(len(values)), least)[0])
-                    # Frequent shingles come last: regions then hold few documents.
-                    at = np.searchsorted(last, values)
-                    late = np.zeros(len(values), bool) if not len(last) else last[np.minimum(at, len(last) - 1)] == values
-                    early = values[~late][:shown]
-                    first.append(np.concatenate([early, values[late][: shown - len(early)]]))
-                offsets = np.zeros(len(first) + 1, np.int32)
-                np.cumsum(list(map(len, first)), out=offsets[1:])
-                flat = np.concatenate(first).view(np.int64) if first else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "row", "node", "n", "first"])
+                    first.append(shown(values, last, least, EXTRA[0]))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(first)], names=["doc_id", "row", "node", "n", "first"])
 
     return docs.mapInArrow(run, "doc_id bigint, row bigint, node bigint, n bigint, first array<bigint>")
 
@@ -192,33 +198,53 @@ def _joined(table: pa.Table, least: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "links": pa.array(np.concatenate([links[at], np.zeros(len(forest), np.int64)]))})
 
 
-def _islands(described: DataFrame, least: int) -> DataFrame:
-    """``node, label`` of the sets that can have links, by connected shared regions."""
-    shown = described.where("n > 0").select("node", "n", F.explode("first").alias("pivot"))
-    regions = shown.groupBy("pivot").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("pivot")
-    met = saved(shown.join(regions, "pivot"))
-    copies = described.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
-    needed = F.floor(F.ceil(F.col("n") * least / F.lit(100)) * EXTRA / F.lit(100)) + 1
-    strong = met.groupBy("node", "n").agg(F.count(F.lit(1)).alias("met")).join(copies, "node").where(F.col("met") >= needed * F.col("copies")).select("node")
-    left = saved(met.join(strong, "node").select("node", "pivot").distinct())
-    centre = left.groupBy("pivot").agg(F.min("node").alias("b"))
-    return components(left.join(centre, "pivot").where("node <> b").select(F.col("node").alias("a"), "b").distinct())
+def _strong(first: DataFrame, least: int, extra: int) -> DataFrame:
+    """Sets that can have a link: ``node, n, pivot`` of shown shingles that another set shows too, for sets with enough of them.
 
-
-def _members(docs: DataFrame, described: DataFrame, islands: DataFrame) -> DataFrame:
-    """The shingles of one document of each set in an island."""
-    chosen = described.join(islands, "node").groupBy("node", "label").agg(F.min(F.struct("doc_id", "row")).alias("of"))
-    chosen = chosen.select("node", "label", F.col("of.doc_id").alias("id"), F.col("of.row").alias("text_row"))
-    texts = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["id"]) & (docs["row"] == chosen["text_row"])).select("label", "node", "text")
+    ``first`` has a row with ``node, n, first`` for each copy of a set.
+    """
+    pivots = first.select("node", "n", F.explode("first").alias("pivot"))
+    shared = pivots.groupBy("pivot").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("pivot")
+    met = saved(pivots.join(shared, "pivot"))
+    copies = first.groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
+    counts = met.groupBy("node", "n").agg(F.count(F.lit(1)).alias("met")).join(copies, "node")
+    return met.join(counts.where(F.col("met") >= _needed(least, extra) * F.col("copies")).select("node"), "node")
+
+
+def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int) -> DataFrame:
+    """Shingles of the sets that the first round leaves, from one document of each, with those that the second round shows."""
+    left = _strong(described.where("n > 0").select("node", "n", "first"), least, EXTRA[0]).select("node").distinct()
+    chosen = described.join(left, "node").groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("of"))
+    chosen = chosen.select("node", F.col("of.doc_id").alias("id"), F.col("of.row").alias("text_row"))
+    texts = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["id"]) & (docs["row"] == chosen["text_row"])).select("node", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(last)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, 500):
                 batch = whole.slice(begin, 500)
                 values = [shingles(t) for t in utf8(batch, "text")]
-                yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("node"), pa.array(list(map(len, values)), pa.int64()), pa.array([v.tobytes() for v in values], pa.binary())], names=["label", "node", "n", "members"])
+                first = _lists([shown(v, shared.value, least, EXTRA[1]) for v in values])
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list(map(len, values)), pa.int64()), first, pa.array([v.tobytes() for v in values], pa.binary())], names=["node", "n", "first", "members"])
+
+    return texts.mapInArrow(run, "node bigint, n bigint, first array<bigint>, members binary").dropDuplicates(["node"])
+
 
-    return texts.mapInArrow(run, "label bigint, node bigint, n bigint, members binary").dropDuplicates(["node"])
+def _islands(members: DataFrame, least: int) -> DataFrame:
+    """``node, label`` of the sets that the second round leaves, by connected shared regions."""
+    left = saved(_strong(members.select("node", "n", "first"), least, EXTRA[1]).select("node", "n", "pivot"))
+    # Sets that went may have been what others shared: count once more among those left.
+    again = left.groupBy("pivot").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b < high").select("pivot", "b")
+    met = left.join(again, "pivot")
+    firm = met.groupBy("node", "n").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= _needed(least, EXTRA[1])).select("node")
+    kept = saved(met.join(firm, "node").select("node", "n", "pivot"))
+    centre = kept.groupBy("pivot").agg(F.min("node").alias("b"))
+    edges = kept.join(centre, "pivot").where("node <> b").groupBy("node", "n", "b").agg(F.count(F.lit(1)).alias("c"))
+    # Each region leads to its smallest set. A set may leave its weakest of these edges away while they stand
+    # for less than half of the shingles needed: two linked sets then still keep an edge to a common set.
+    weakest = Window.partitionBy("node").orderBy("c", "b").rowsBetween(Window.unboundedPreceding, 0)
+    strong = edges.withColumn("away", F.sum("c").over(weakest)).where(2 * F.col("away") >= _needed(least, EXTRA[1]))
+    return components(strong.select(F.col("node").alias("a"), "b"))
 
 
 def _dealt(members: DataFrame, least: int) -> DataFrame:
@@ -256,8 +282,10 @@ def join(docs: DataFrame, least: int = LEAST) -> DataFrame:
     name a class unless it has no other. Equal texts and equal sets are one class; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
-    described = saved(_described(docs, common_shingles(docs), least))
-    members = saved(_members(docs, described, _islands(described, least)))
+    last = common_shingles(docs)
+    described = saved(_described(docs, last, least))
+    members = saved(_members(docs, described, last, least))
+    members = saved(members.select("node", "n", "members").join(_islands(members, least), "node"))
     groups = _dealt(members, least).groupBy("label", "low", "i", "j")
     found = saved(groups.applyInArrow(lambda table: _joined(table, least), "a bigint, b bigint, links bigint"))
     classes = components(found.where("a <> b").select("a", "b"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_remainder, in_batches, mix, word_ngrams
+from tessera.llm.common import held, id_remainder, in_batches, mix, word_ngrams
 
 ORDER = 5
 SAMPLE_TEXTS = 300
@@ -258,15 +258,8 @@ class WordScores:
         self.index.update(zip(new, range(len(self.index), end)))
 
 
-_held: dict[str, WordScores] = {}
-
-
 def _scores(models: LanguageModels) -> WordScores:
-    """One cache for each Python worker, kept from task to task."""
-    if models.digest not in _held:
-        _held.clear()
-        _held[models.digest] = WordScores(models)
-    return _held[models.digest]
+    return held("languages", models.digest, lambda: WordScores(models))
 
 
 def _judged(models: LanguageModels, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_remainder, in_batches, mix, utf8, word_hashes, word_ngrams
+from tessera.llm.common import hash_words, held, id_remainder, in_batches, mix, utf8, word_ngrams
 
 BUCKETS = 1 << 18
 DIMENSIONS = 12
@@ -40,7 +40,7 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     texts = [w.decode("utf-8", "replace") for w in words]
     texts = [t if len(t) <= 64 else t[:32] + t[-32:] for t in texts]
     features, owners = [], []
-    hashes = mix(word_hashes.of(words))
+    hashes = mix(hash_words(words))
     features.append(hashes % np.uint64(BUCKETS))
     owners.append(np.arange(len(words)))
     for _, grams, owner in word_ngrams(texts, NGRAMS):
@@ -174,14 +174,8 @@ class WordScores:
         return total / n if n else 0.0
 
 
-_held: dict[str, WordScores] = {}
-
-
 def _scores(model: Classifier) -> WordScores:
-    if model.digest not in _held:
-        _held.clear()
-        _held[model.digest] = WordScores(model)
-    return _held[model.digest]
+    return held("quality", model.digest, lambda: WordScores(model), ("words",))
 
 
 def score(docs: DataFrame, model: Classifier) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tessera.llm.common import Remembered, in_batches, saved
+from tessera.llm.common import Remembered, held, in_batches, saved
 from tessera.llm.spm_model import BPE, BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, SentencePieceModel
 
 CHUNK = 16_384
@@ -278,15 +278,8 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
     return [states[k] for k in range(1, len(matrices) + 1)]
 
 
-_held: dict[str, Lattice] = {}
-
-
 def lattice(model: SentencePieceModel) -> Lattice:
-    """One lattice for each Python worker, kept from task to task."""
-    if model.digest not in _held or not model.digest:
-        _held.clear()
-        _held[model.digest] = Lattice(model)
-    return _held[model.digest]
+    return held("lattice", model.digest or id(model), lambda: Lattice(model))
 
 
 def _ids(rows: list[list[int]]) -> pa.Array:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BASE, GOLDEN, mix, rolled, saved, utf8, word_hashes
+from tessera.llm.common import BASE, GOLDEN, hash_words, mix, rolled, saved, utf8
 
 WINDOW = 50
 GRAM = 12
@@ -95,7 +95,7 @@ def _parsed(docs: DataFrame) -> DataFrame:
                 sizes.append(len(words))
                 digests.append(_digest(words))
                 for begin, end in _ranges(len(words)):
-                    found = pieces(word_hashes.of(words[begin:end]))
+                    found = pieces(hash_words(words[begin:end]))
                     if len(found[0]):
                         at.append((i, len(found[0])))
                         for column, values in zip(columns, (found[0] + begin, *found[1:])):
@@ -124,7 +124,7 @@ def _checked(docs: DataFrame) -> DataFrame:
                 for r in ranges:
                     first, size = r["first"], r["size"]
                     starts.append(np.arange(first, first + size))
-                    hashes.append(windows(word_hashes.of(words[first : first + size + WINDOW - 1])))
+                    hashes.append(windows(hash_words(words[first : first + size + WINDOW - 1])))
                     asked.append(np.full(size, r["asked"]))
                 take = pa.array(np.full(sum(map(len, starts)), i))
                 yield pa.RecordBatch.from_arrays([ids.take(take), rows.take(take), pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(asked))], names=["doc_id", "row", "first", "window", "asked"])

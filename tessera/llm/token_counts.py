@@ -15,7 +15,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import Remembered, in_batches, utf8
+from tessera.llm.common import Remembered, held, in_batches, utf8
 from tessera.llm.spm_model import SentencePieceModel
 
 SCHEMA = "doc_id bigint, n_words bigint, n_tokens bigint, n_unknown bigint"
@@ -110,17 +110,14 @@ def words_of(text: bytes | None) -> list[str]:
     return word_pattern(last).findall(text.decode("utf-8", "replace"))
 
 
-_held: dict[str, Remembered] = {}
-
-
 def _counts(digest: str, starts: list[str], rest: list[str]) -> Remembered:
-    """One automaton for each Python worker, kept from task to task."""
-    if digest not in _held:
-        _held.clear()
+    """Pieces of each word, and 1 << 32 more for one that cannot be spelled."""
+
+    def make() -> Remembered:
         count = LongestMatch(starts, rest).count
-        # Pieces, and 1 << 32 more for a word that cannot be spelled.
-        _held[digest] = Remembered(lambda word: count(word) or 1 + (1 << 32), 400_000)
-    return _held[digest]
+        return Remembered(lambda word: count(word) or 1 + (1 << 32), 400_000)
+
+    return held("counts", digest, make)
 
 
 def count_tokens(docs: DataFrame, model: SentencePieceModel) -> DataFrame:
