@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -30,6 +31,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _free(spark: SparkSession) -> None:
+    """Have the driver drop finished plans; their last holders, such as queued events, let go a moment later."""
+    for pause in (0.0, 0.3):
+        time.sleep(pause)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: its lineage is cut and it is computed once.
 
@@ -37,8 +46,7 @@ def saved(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    _free(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -169,6 +169,7 @@ def metric_links(sets: Sets, left: np.ndarray, right: np.ndarray, least: int, de
 
 def _joined(table: pa.Table, least: int) -> pa.Table:
     """Edges of a spanning forest of one group's links, and how many links each row has in it."""
+    table = table.take(pa.array(np.unique(table["node"].to_numpy(), return_index=True)[1]))
     nodes = table["node"].to_numpy()
     sets = Sets([np.frombuffer(b, np.uint64) for b in table["members"].to_pylist()])
     block = table["block"].to_numpy()
@@ -212,7 +213,10 @@ def _strong(first: DataFrame, least: int, extra: int) -> DataFrame:
 
 
 def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int) -> DataFrame:
-    """Shingles of the sets that the first round leaves, from one document of each, with those that the second round shows."""
+    """Shingles of the sets that the first round leaves, from one document of each, with those that the second round shows.
+
+    Rows that share id and text give their set several times; what follows counts it once.
+    """
     left = _strong(described.where("n > 0").select("node", "n", "first"), least, EXTRA[0]).select("node").distinct()
     chosen = described.join(left, "node").groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("of"))
     chosen = chosen.select("node", F.col("of.doc_id").alias("id"), F.col("of.row").alias("text_row"))
@@ -227,12 +231,12 @@ def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int
                 first = _lists([shown(v, shared.value, least, EXTRA[1]) for v in values])
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list(map(len, values)), pa.int64()), first, pa.array([v.tobytes() for v in values], pa.binary())], names=["node", "n", "first", "members"])
 
-    return texts.mapInArrow(run, "node bigint, n bigint, first array<bigint>, members binary").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node bigint, n bigint, first array<bigint>, members binary")
 
 
 def _islands(members: DataFrame, least: int) -> DataFrame:
     """``node, label`` of the sets that the second round leaves, by connected shared regions."""
-    left = saved(_strong(members.select("node", "n", "first"), least, EXTRA[1]).select("node", "n", "pivot"))
+    left = saved(_strong(members.select("node", "n", "first"), least, EXTRA[1]).select("node", "n", "pivot").distinct())
     # Sets that went may have been what others shared: count once more among those left.
     again = left.groupBy("pivot").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b < high").select("pivot", "b")
     met = left.join(again, "pivot")
