@@ -65,7 +65,7 @@ class LanguageModels:
     """Models of all languages, with what rejection and scores need."""
 
     languages: list[str]
-    floor: float
+    floor: np.ndarray
     grams: list[Order]
     contexts: list[Order]
     expected: np.ndarray | None = None
@@ -83,7 +83,7 @@ class LanguageModels:
             first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
             owner = np.repeat(np.arange(len(part)), lengths)
             place = np.arange(lengths.sum()) - first[owner]
-            log_p = np.full((len(owner), len(self.languages)), self.floor)
+            log_p = np.repeat(self.floor[None, :], len(owner), axis=0)
             hashes = dict((n, h) for n, h, _ in word_ngrams(part, range(1, len(self.grams) + 1)))
             for n in range(1, len(self.grams) + 1):
                 ends = np.flatnonzero(place >= n - 1)
@@ -152,8 +152,9 @@ def fit(texts: dict[str, list[str]], order: int = ORDER) -> LanguageModels:
     kept = {k: [t for i, t in enumerate(texts[k]) if i % 5 or len(texts[k]) < 5] for k in languages}
     counts = {k: Counter(w for t in kept[k] for w in words_of(t)) for k in languages}
     n_chars = len({c for x in counts.values() for w in x for c in w}) + 2
-    floor = float(-np.log(n_chars))
     learned = {k: _kneser_ney(counts[k], order, n_chars) for k in languages}
+    # A character that no language knows: what the shortest context leaves, spread over all characters.
+    floor = np.log(np.array([learned[k][1][1].get("", 1.0) for k in languages]) / n_chars)
     grams, contexts = [], []
     for n in range(1, order + 1):
         union = sorted({g for k in languages for g in learned[k][0][n]})

@@ -47,7 +47,7 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if top < _EXACT:
         return (a @ b.T).astype(np.int64)
     whole = np.array([[int(x) for x in r] for r in a], object).reshape(a.shape) @ np.array([[int(x) for x in r] for r in b], object).reshape(b.shape).T
-    return np.clip(whole, -(2**63), 2**63 - 1).astype(np.int64)
+    return np.clip(whole, _NONE + 1, 2**63 - 1).astype(np.int64)
 
 
 def _merge(score: np.ndarray, ids: np.ndarray, new: np.ndarray, new_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,10 +78,11 @@ class Search:
         # A bound of rounded doubles is lifted by more than its rounding error.
         bound = np.maximum(self.queries, 0) @ high.T + np.minimum(self.queries, 0) @ low.T
         bound += 1 + np.abs(bound) * 1e-9 if np.abs(bound).max(initial=0) >= _EXACT else 0
+        bound = np.maximum(bound, float(_NONE))  # as low scores are clipped
         by_bound = np.argsort(-bound, axis=1)
         for step in range(len(blocks)):
             block = by_bound[:, step]
-            going = np.flatnonzero(bound[np.arange(len(block)), block] >= np.maximum(self.least, self.score[:, -1]))
+            going = np.flatnonzero(bound[np.arange(len(block)), block] >= np.maximum(self.least, self.score[:, -1]).astype(float))
             if not len(going):
                 break
             for b in np.unique(block[going]):
@@ -115,7 +116,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, batch: int = QUERIES
     rows get all of them. Rows whose id or vector is null, or whose vector holds a null or non-finite
     component, take no part. Vectors of different length are compared over the shorter one's dimensions.
     Rows with the query's own id never count; repeated rows count each, and a repeated query is one query
-    (different vectors under one query id: the smallest). Scores beyond 64 bits are clipped. Other columns are
+    (different vectors under one query id: the smallest). Scores beyond 64 bits are clipped to -(2^63 - 2) and 2^63 - 1. Other columns are
     ignored.
 
     Queries come in batches of bounded size, each broadcast to all rows. A bounded sample of rows gives
