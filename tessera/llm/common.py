@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 GOLDEN = 0x9E3779B97F4A7C15
 BASE = 0xD6E8FEB86659FD93
+BATCH_ROWS = 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,14 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(modulus)
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` with batches that suit whole texts: both sides hold several of them for each task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def in_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 1_000) -> DataFrame:
     """Apply ``step`` to the rows of ``df``, ``rows`` at a time; Spark itself ends an Arrow batch at 64 MB."""
 
@@ -64,7 +73,7 @@ def in_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch |
                 if (out := step(batch.slice(begin, rows))) is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes | None]:

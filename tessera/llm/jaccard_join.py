@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hash_words, mix, rolled, saved, utf8
+from tessera.llm.common import hash_words, in_arrow, mix, rolled, saved, utf8
 from tessera.llm.components import components
 
 WIDTH = 4
@@ -104,7 +104,7 @@ def _described(docs: DataFrame, last: np.ndarray, least: int) -> DataFrame:
                     first.append(shown(values, last, least, EXTRA[0]))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(first)], names=["doc_id", "row", "node", "n", "first"])
 
-    return docs.mapInArrow(run, "doc_id bigint, row bigint, node bigint, n bigint, first array<bigint>")
+    return in_arrow(docs, run, "doc_id bigint, row bigint, node bigint, n bigint, first array<bigint>")
 
 
 class Sets:
@@ -231,7 +231,7 @@ def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int
                 first = _lists([shown(v, shared.value, least, EXTRA[1]) for v in values])
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list(map(len, values)), pa.int64()), first, pa.array([v.tobytes() for v in values], pa.binary())], names=["node", "n", "first", "members"])
 
-    return texts.mapInArrow(run, "node bigint, n bigint, first array<bigint>, members binary")
+    return in_arrow(texts, run, "node bigint, n bigint, first array<bigint>, members binary")
 
 
 def _islands(members: DataFrame, least: int) -> DataFrame:

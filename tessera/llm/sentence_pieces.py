@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tessera.llm.common import Remembered, held, in_batches, saved
+from tessera.llm.common import Remembered, held, in_arrow, in_batches, saved
 from tessera.llm.spm_model import BPE, BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, SentencePieceModel
 
 CHUNK = 16_384
@@ -54,8 +54,8 @@ class Lattice:
         #: Pieces that merges reach at all; some BPE vocabularies hold others.
         self.good = {piece for piece in self.ids if not self.bpe or self._merged(piece) == [piece]}
         #: Ids and weight of the best path over a stretch without a cut inside; ids of a word.
-        self.atoms = Remembered(self._atom, 300_000)
-        self.words = Remembered(self._word, 350_000)
+        self.atoms = Remembered(self._atom, 200_000)
+        self.words = Remembered(self._word, 250_000)
 
     # Weights
 
@@ -317,7 +317,7 @@ def _chunked(docs: DataFrame, model: SentencePieceModel, chunk: int) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    chunks = saved(numbered.mapInArrow(cut, "row bigint, doc_id bigint, k int, p int, q int, part string"))
+    chunks = saved(in_arrow(numbered, cut, "row bigint, doc_id bigint, k int, p int, q int, part string"))
     spread = chunks.repartition("row", "k")
 
     def prepared(part: str, k: int, p: int, q: int) -> tuple[Lattice, str, int, int, bool]:

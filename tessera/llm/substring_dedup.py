@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BASE, GOLDEN, hash_words, mix, rolled, saved, utf8
+from tessera.llm.common import BASE, GOLDEN, hash_words, in_arrow, mix, rolled, saved, utf8
 
 WINDOW = 50
 GRAM = 12
@@ -109,7 +109,7 @@ def _parsed(docs: DataFrame) -> DataFrame:
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([ids, rows, pa.nulls(n, pa.int32()), pa.array(sizes, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(digests, pa.string())], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return in_arrow(docs, run, schema)
 
 
 def _checked(docs: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def _checked(docs: DataFrame) -> DataFrame:
                 take = pa.array(np.full(sum(map(len, starts)), i))
                 yield pa.RecordBatch.from_arrays([ids.take(take), rows.take(take), pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(asked))], names=["doc_id", "row", "first", "window", "asked"])
 
-    return docs.mapInArrow(run, "doc_id bigint, row bigint, first int, window bigint, asked boolean")
+    return in_arrow(docs, run, "doc_id bigint, row bigint, first int, window bigint, asked boolean")
 
 
 def _kept(docs: DataFrame, with_text: bool) -> DataFrame:
@@ -154,7 +154,7 @@ def _kept(docs: DataFrame, with_text: bool) -> DataFrame:
             a, b, c, d, e = zip(*out)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string()), pa.array(d, kind), pa.array(e, pa.binary()).cast(pa.string())], names=[x.split()[0] for x in schema.split(", ")])
 
-    return docs.mapInArrow(run, schema)
+    return in_arrow(docs, run, schema)
 
 
 def _same(a: DataFrame, b: DataFrame) -> Column:
