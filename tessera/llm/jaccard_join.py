@@ -202,14 +202,14 @@ def _joined(table: pa.Table, least: int) -> pa.Table:
 def _strong(first: DataFrame, least: int, extra: int) -> DataFrame:
     """Sets that can have a link: ``node, n, pivot`` of shown shingles that another set shows too, for sets with enough of them.
 
-    ``first`` has a row with ``node, n, first`` for each copy of a set.
+    ``first`` has a row with ``node, n, first`` for each copy of a set; copies count once. Shared shingles are a
+    table of their own, so that both sides of the join are dealt for it and Spark can split a frequent one.
     """
     pivots = first.select("node", "n", F.explode("first").alias("pivot"))
     shared = pivots.groupBy("pivot").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("pivot")
-    met = saved(pivots.join(shared, "pivot"))
-    copies = first.groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
-    counts = met.groupBy("node", "n").agg(F.count(F.lit(1)).alias("met")).join(copies, "node")
-    return met.join(counts.where(F.col("met") >= _needed(least, extra) * F.col("copies")).select("node"), "node")
+    met = saved(pivots.join(saved(shared), "pivot").select("node", "n", "pivot").distinct())
+    counts = met.groupBy("node", "n").agg(F.count(F.lit(1)).alias("met"))
+    return met.join(counts.where(F.col("met") >= _needed(least, extra)).select("node"), "node")
 
 
 def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int) -> DataFrame:
@@ -236,7 +236,7 @@ def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int
 
 def _islands(members: DataFrame, least: int) -> DataFrame:
     """``node, label`` of the sets that the second round leaves, by connected shared regions."""
-    left = saved(_strong(members.select("node", "n", "first"), least, EXTRA[1]).select("node", "n", "pivot").distinct())
+    left = saved(_strong(members.select("node", "n", "first"), least, EXTRA[1]).select("node", "n", "pivot"))
     # Sets that went may have been what others shared: count once more among those left.
     again = left.groupBy("pivot").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b < high").select("pivot", "b")
     met = left.join(again, "pivot")
