@@ -177,12 +177,13 @@ def parse(docs: DataFrame, with_text: bool = False) -> DataFrame:
     found = parsed.where("first is not null").select("doc_id", "row", "first", "size", "anchor", "piece", owner.alias("owner"))
     block = found.groupBy("anchor", "piece").agg(F.min("owner").alias("earliest"), F.max("owner").alias("latest"))
     shared = block.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("earliest").alias("low"), F.max("latest").alias("high")).where("low < high")
-    index = block.join(shared, "anchor").where("earliest < latest or n > 1").select("anchor", "piece", "earliest", "low", "n")
+    # Tables of their own: the joins below then deal both sides by their own keys, and Spark can split frequent ones.
+    index = saved(block.join(shared, "anchor").where("earliest < latest or n > 1").select("anchor", "piece", "earliest", "low", "n"))
     looked = saved(found.join(index, ["anchor", "piece"]).where("owner > earliest or n > 1").select("doc_id", "row", "first", "size", (F.col("owner") > F.col("earliest")).alias("whole"), (F.col("owner") > F.col("low")).alias("asked")))
     # Factor boundaries: one copy of each different piece of a block gives its windows.
     edges = looked.where("not whole").groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "size", "asked")).alias("ranges"))
     checked = saved(_checked(texts.join(edges, _same(texts, edges)).select(texts["doc_id"], texts["row"], "text", "ranges")).withColumn("owner", owner))
-    first_of = checked.groupBy("window").agg(F.min("owner").alias("earliest"), F.max("owner").alias("latest")).where("earliest < latest")
+    first_of = saved(checked.groupBy("window").agg(F.min("owner").alias("earliest"), F.max("owner").alias("latest")).where("earliest < latest"))
     crossing = checked.where("asked").join(first_of, "window").where("owner > earliest").select("doc_id", "row", "first", F.lit(1).alias("size"))
     factors = looked.where("whole").select("doc_id", "row", "first", "size").unionByName(crossing)
     removed = saved(factors.groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "size")).alias("ranges")))
