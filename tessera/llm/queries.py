@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, language_id, quality, secrets, sentence_pieces, sharding, substring_dedup, token_counts, top_k
+from tessera.llm import decontamination, jaccard_join, language_id, oracle, quality, secrets, sentence_pieces, sharding, substring_dedup, token_counts, top_k
 from tessera.llm.common import table
 from tessera.llm.spm_model import SentencePieceModel
 
@@ -89,4 +89,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
