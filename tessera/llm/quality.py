@@ -24,6 +24,7 @@ RATE = 0.4
 SAMPLE = 6_000
 SAMPLE_LENGTH = 30_000
 NGRAMS = range(3, 5)
+REPEATED = 0
 CACHED = 500_000
 SCHEMA = "doc_id bigint, score double, predicted int"
 
@@ -50,8 +51,9 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def pairs(hashes: np.ndarray) -> np.ndarray:
-    """Buckets of the pairs of neighbouring words."""
-    return (mix(hashes[:-1] * np.uint64(3) + hashes[1:]) % np.uint64(BUCKETS)).astype(np.int64)
+    """Buckets of the pairs of neighbouring words; a word repeated is one feature, whatever the word."""
+    either = (mix(hashes[:-1] * np.uint64(3) + hashes[1:]) % np.uint64(BUCKETS)).astype(np.int64)
+    return np.where(hashes[:-1] == hashes[1:], REPEATED, either)
 
 
 @dataclass
