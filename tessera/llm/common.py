@@ -51,6 +51,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt_anew(df: DataFrame) -> DataFrame:
+    """``df`` over evenly dealt partitions.
+
+    A join with an aggregate by the same key would keep the aggregate's partitions, and Spark then cannot split
+    a key with many rows on the other side. This is for small aggregates in such joins.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(modulus)

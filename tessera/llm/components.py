@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import saved
+from tessera.llm.common import dealt_anew, saved
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = at.unionByName(at.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = at.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least.withColumnRenamed("a", "u"), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        large = at.select(F.col("b").alias("u"), F.col("a").alias("v")).join(dealt_anew(least.withColumnRenamed("a", "u")), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         large = large.distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

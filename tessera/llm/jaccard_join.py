@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hash_words, in_arrow, mix, rolled, saved, utf8
+from tessera.llm.common import dealt_anew, hash_words, in_arrow, mix, rolled, saved, utf8
 from tessera.llm.components import components
 
 WIDTH = 4
@@ -295,10 +295,10 @@ def join(docs: DataFrame, least: int = LEAST) -> DataFrame:
     classes = components(found.where("a <> b").select("a", "b"))
     counts = found.where("a = b").groupBy("a").agg(F.sum("links").alias("n_links"))
     known = classes.join(counts, classes["node"] == counts["a"], "left").select("node", "label", "n_links")
-    rows = described.select("doc_id", "row", "node", "n").join(known, "node", "left").withColumn("class", F.coalesce("label", "node"))
+    rows = described.select("doc_id", "row", "node", "n").join(dealt_anew(known), "node", "left").withColumn("class", F.coalesce("label", "node"))
     rows = saved(rows.select("doc_id", "row", "n", "class", F.coalesce("n_links", F.lit(0)).alias("n_links")))
     ids = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-    return rows.join(ids, "class", "left").select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("first_id", "doc_id").alias("component_id"), "n_links", F.col("class").alias("class_id"))
+    return rows.join(dealt_anew(ids), "class", "left").select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("first_id", "doc_id").alias("component_id"), "n_links", F.col("class").alias("class_id"))
 
 
 def representatives(docs: DataFrame, least: int = LEAST) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import saved
+from tessera.llm.common import dealt_anew, saved
 
 # The patterns of the kinds, each with its group that holds the value, and the least length of that group.
 KINDS = {
@@ -65,7 +65,7 @@ def scan(docs: DataFrame, repository: str = "source", owner: str | None = None,
     no spans, null repositories and owners count as one of their own.
     """
     found = saved(candidates(docs, repository, owner).select("doc_id", "row", "repository", "owner", "kind", "start", "stop", F.sha2("value", 256).alias("hash")))
-    known = found.join(ownership(found), "hash").where((F.col("kind") != "owned") | (F.col("n_owners") == 1))
+    known = found.join(dealt_anew(ownership(found)), "hash").where((F.col("kind") != "owned") | (F.col("n_owners") == 1))
     order = F.coalesce(*(F.when(F.col("kind") == k, F.lit(n)) for k, n in ORDER.items()))
     span = F.struct(F.col("start"), order.alias("order"), "kind", "stop", "hash", "n_repositories", "n_owners", (F.col("n_owners") < copied).alias("live"))
     rows = known.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(span)).alias("spans"))
