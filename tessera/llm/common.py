@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 GOLDEN = 0x9E3779B97F4A7C15
 BASE = 0xD6E8FEB86659FD93
 BATCH_ROWS = 2_000
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +61,17 @@ def dealt_anew(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def small(keys: DataFrame, weight: Column | None = None) -> DataFrame:
+    """``keys`` as a table, marked for a broadcast join if its rows are few by count; else joins shuffle as usual.
+
+    The rows are ids and numbers of fixed size, so ``BROADCAST_ROWS`` of them take some 20 MB. ``weight`` says how
+    many such rows a row with an array stands for.
+    """
+    held = saved(keys)
+    n = held.agg(F.coalesce(F.sum(F.lit(1) if weight is None else weight), F.lit(0))).first()[0]
+    return F.broadcast(held) if n <= BROADCAST_ROWS else held
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(modulus)

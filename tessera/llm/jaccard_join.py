@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import dealt_anew, hash_words, in_arrow, mix, rolled, saved, utf8
+from tessera.llm.common import dealt_anew, hash_words, in_arrow, mix, rolled, saved, small, utf8
 from tessera.llm.components import components
 
 WIDTH = 4
@@ -219,7 +219,7 @@ def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int
     """
     left = _strong(described.where("n > 0").select("node", "n", "first"), least, EXTRA[0]).select("node").distinct()
     chosen = described.join(left, "node").groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("of"))
-    chosen = chosen.select("node", F.col("of.doc_id").alias("id"), F.col("of.row").alias("text_row"))
+    chosen = small(chosen.select("node", F.col("of.doc_id").alias("id"), F.col("of.row").alias("text_row")))
     texts = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["id"]) & (docs["row"] == chosen["text_row"])).select("node", "text")
     shared = docs.sparkSession.sparkContext.broadcast(last)
 

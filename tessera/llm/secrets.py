@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import dealt_anew, saved
+from tessera.llm.common import dealt_anew, saved, small
 
 # The patterns of the kinds, each with its group that holds the value, and the least length of that group.
 KINDS = {
@@ -105,7 +105,9 @@ def masked(docs: DataFrame, repository: str = "source", owner: str | None = None
 
     Copied examples stay, texts without live spans are unchanged, null texts too. All columns are kept.
     """
-    live = scan(docs, repository, owner).select(F.col("doc_id").alias("masked_id"), F.col("row").alias("masked_row"), F.filter("spans", lambda s: s["live"]).alias("masked_spans")).where(F.size("masked_spans") > 0)
+    places = F.transform(F.filter("spans", lambda s: s["live"]), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    live = scan(docs, repository, owner).select(F.col("doc_id").alias("masked_id"), F.col("row").alias("masked_row"), places.alias("masked_spans")).where(F.size("masked_spans") > 0)
+    live = small(live, F.size("masked_spans") + 1)
     rows = docs.withColumns({"own_id": F.col("doc_id").cast("bigint"), "own_row": F.xxhash64("text")})
     rows = rows.join(live, F.col("own_id").eqNullSafe(F.col("masked_id")) & (F.col("own_row") == F.col("masked_row")), "left")
     text, start = F.col("text"), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
