@@ -41,14 +41,16 @@ def _free(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, free: bool = True) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: its lineage is cut and it is computed once.
 
-    Shuffle files go when the driver collects the plans that made them as garbage, so it is asked to.
+    Shuffle files go when the driver collects the plans that made them as garbage, so it is asked to; ``free``
+    is for plans that shuffle much.
     """
     path = f"{shared_folder(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _free(df.sparkSession)
+    if free:
+        _free(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -67,7 +69,7 @@ def small(keys: DataFrame, weight: Column | None = None) -> DataFrame:
     The rows are ids and numbers of fixed size, so ``BROADCAST_ROWS`` of them take some 20 MB. ``weight`` says how
     many such rows a row with an array stands for.
     """
-    held = saved(keys)
+    held = saved(keys, free=False)
     n = held.agg(F.coalesce(F.sum(F.lit(1) if weight is None else weight), F.lit(0))).first()[0]
     return F.broadcast(held) if n <= BROADCAST_ROWS else held
 

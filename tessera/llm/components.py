@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        at = saved(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())
+        at = saved(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(), free=False)
         state = at.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 1_000_033)).first()
         if state == seen:
             break
