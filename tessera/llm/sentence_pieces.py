@@ -13,12 +13,11 @@ itself.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import chain
 import re
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +28,7 @@ from tessera.llm.spm_model import BPE, BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, Se
 
 CHUNK = 16_384
 GIANT = 65_536
+PAIRS = 250_000
 _LOW = float("-inf")
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -50,7 +50,13 @@ class Lattice:
         self.bytes_of = bytes_of if len(bytes_of) == 256 else None
         self.unknown_score = min(self.rank.values(), default=0.0) - 10.0
         self.by_word = all(p[1] != SPACE or p[0] == SPACE for p in self.inside)
-        self.pairs = Remembered(lambda pair: "".join(pair) not in self.rank and self._merged("".join(pair)) == list(pair), 300_000)
+        #: Whether two pieces may stand side by side, by their numbers; see ``fits``.
+        self.pairs: dict[int, bool] = {}
+        #: Ids (as bytes of 32-bit numbers) and weight of the best path over a stretch without a cut inside; ids
+        #: of a word with its space mark, and of one without (which is the shorter key).
+        self.atoms = Remembered(self._atom, 80_000)
+        self.words = Remembered(self._word, 50_000)
+        self.plain = Remembered(lambda word: self._word(SPACE + word), 120_000)
         #: Pieces that merges reach at all; some BPE vocabularies hold others.
         self.good = {piece for piece in self.ids if not self.bpe or self._merged(piece) == [piece]}
         #: Ids and weight of the best path over a stretch without a cut inside; ids of a word.
@@ -77,7 +83,14 @@ class Lattice:
         """Whether ``right`` may follow ``left``."""
         if not self.bpe or left is None or left[-1] + right[0] not in self.inside:
             return True
-        return self.pairs[left, right]
+        key = self.ids[left] << 32 | self.ids[right] if left in self.ids and right in self.ids else -1
+        if (known := self.pairs.get(key)) is None:
+            known = left + right not in self.rank and self._merged(left + right) == [left, right]
+            if key >= 0:
+                if len(self.pairs) >= PAIRS:
+                    self.pairs.clear()
+                self.pairs[key] = known
+        return known
 
     def _allowed(self, left: str | None, piece: str) -> bool:
         """Whether a vocabulary's piece may follow; for BPE it must be one that merges reach at all."""
@@ -137,7 +150,8 @@ class Lattice:
 
     def _only(self, text: str) -> list[str]:
         """The one path of weight 0 of a BPE model over a stretch without a cut: long pieces first, no state twice."""
-        good, starts, pairs, end = self.good, self.starts, self.pairs, len(text)
+        good, starts, fits, end = self.good, self.starts, self.fits, len(text)
+        ids, pairs = self.ids, self.pairs
         path: list[str] = []
         waiting: list[list[str]] = []
         dead: set[tuple[int, str]] = set()
@@ -149,9 +163,13 @@ class Lattice:
                     options.append(piece)
                 stop += 1
             while True:
+                first = ids.get(left, -1) << 32
                 while options:
                     piece = options.pop()
-                    if (not left or pairs[left, piece]) and not (dead and (at + len(piece), piece) in dead):
+                    allowed = not left or pairs.get(first | ids.get(piece, -1))
+                    if allowed is None:
+                        allowed = fits(left, piece)
+                    if allowed and not (dead and (at + len(piece), piece) in dead):
                         break
                 else:
                     # Nothing fits here: this state leads nowhere, so go back to the one before.
@@ -165,27 +183,35 @@ class Lattice:
             at, left = at + len(piece), piece
         return path
 
-    def _atom(self, text: str) -> tuple[tuple[int, ...], float]:
+    def _atom(self, text: str) -> tuple[bytes, float]:
         if self.bpe:
-            return tuple(self.number(self._only(text))), 0.0
+            return array("i", self.number(self._only(text))).tobytes(), 0.0
         score, back = self.best(text, 0, len(text))
-        return tuple(self.number(self.trace(text, back, 0, len(text)))), score[-1]
+        return array("i", self.number(self.trace(text, back, 0, len(text)))).tobytes(), score[-1]
 
-    def _word(self, text: str) -> tuple[int, ...]:
-        inside, atoms, out, begin = self.inside, self.atoms, [], 0
+    def _word(self, text: str) -> bytes:
+        inside, atoms, out, begin = self.inside, self.atoms, b"", 0
         for i in range(1, len(text)):
             if text[i - 1 : i + 1] not in inside:
                 out += atoms[text[begin:i]][0]
                 begin = i
-        return tuple(out + list(atoms[text[begin:]][0]))
+        return out + atoms[text[begin:]][0]
 
     def normal(self, text: str, first: bool = True) -> str:
         return (SPACE if first and self.dummy and text else "") + text.replace(" ", SPACE)
 
+    def encoded(self, text: str) -> bytes:
+        """Ids of a text in one piece, as bytes of 32-bit numbers."""
+        if not text:
+            return b""
+        if self.by_word and self.dummy and SPACE not in text and "" not in (words := text.split(" ")):
+            return b"".join(map(self.plain.__getitem__, words))
+        text = self.normal(text)
+        return b"".join(map(self.words.__getitem__, _WORD.findall(text) if self.by_word else [text]))
+
     def encode(self, text: str) -> list[int]:
         """Ids of a text in one piece."""
-        text = self.normal(text)
-        return list(chain.from_iterable(map(self.words.__getitem__, _WORD.findall(text) if self.by_word else [text] if text else [])))
+        return np.frombuffer(self.encoded(text), np.int32).tolist()
 
     # Chunks
 
@@ -205,7 +231,7 @@ class Lattice:
     def _middle(self, text: str) -> tuple[list[int], float]:
         at = self.cuts(text)
         parts = [self.atoms[text[a:b]] for a, b in zip(at, at[1:]) if b > a]
-        return list(chain.from_iterable(ids for ids, _ in parts)), sum(w for _, w in parts)
+        return np.frombuffer(b"".join(ids for ids, _ in parts), np.int32).tolist(), sum(w for _, w in parts)
 
     def _into(self, text: str, score: list[float], back: list[int], start: int, before: str | None, state: tuple[int, int]) -> float:
         """Weight of the best path that has reached ``state``'s start and then takes its piece."""
@@ -282,11 +308,11 @@ def lattice(model: SentencePieceModel) -> Lattice:
     return held("lattice", model.digest or id(model), lambda: Lattice(model))
 
 
-def _ids(rows: list[list[int]]) -> pa.Array:
+def _ids(rows: list[bytes]) -> pa.Array:
+    """Lists of ids from bytes of 32-bit numbers."""
     offsets = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([len(r) for r in rows], out=offsets[1:])
-    flat = np.fromiter(chain.from_iterable(rows), np.int32, offsets[-1])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
 
 def _is_long(giant: int):
@@ -295,8 +321,8 @@ def _is_long(giant: int):
 
 def _whole(docs: DataFrame, model: SentencePieceModel) -> DataFrame:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode = lattice(model).encode
-        ids = _ids([encode(t) if t else [] for t in batch.column("text").to_pylist()])
+        encode = lattice(model).encoded
+        ids = _ids([encode(t or "") for t in batch.column("text").to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), ids], names=["doc_id", "text", "ids"])
 
     return in_batches(docs, step, "doc_id bigint, text string, ids array<int>")
@@ -335,7 +361,9 @@ def _chunked(docs: DataFrame, model: SentencePieceModel, chunk: int) -> DataFram
         flat = pa.array([m.ravel().tolist() for m in found], pa.list_(pa.float64()))
         return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("k"), shape, flat], names=["row", "k", "entries", "matrix"])
 
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
+    def scan(group):
+        import pandas as pd  # not for the workers that only encode
+
         group = group.sort_values("k", ignore_index=True)
         states = boundary_states([np.asarray(m).reshape(n, -1) for n, m in zip(group.entries, group.matrix)])
         return pd.DataFrame({"row": group.row, "k": group.k, "entry": [0, *states[:-1]], "leave": states})
@@ -345,7 +373,7 @@ def _chunked(docs: DataFrame, model: SentencePieceModel, chunk: int) -> DataFram
         for k, p, q, part, entry, leave in zip(*(batch.column(c).to_pylist() for c in ("k", "p", "q", "part", "entry", "leave"))):
             core.append(part[p:q])
             held, text, p, q, first = prepared(part, k, p, q)
-            found.append(held.traced(text, p, q, first, entry, leave))
+            found.append(array("i", held.traced(text, p, q, first, entry, leave)).tobytes())
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "k")), pa.array(core, pa.string()), _ids(found)], names=["row", "doc_id", "k", "part", "ids"])
 
     matrices = in_batches(spread.select("row", "k", "p", "q", "part"), transfer, "row bigint, k int, entries int, matrix array<double>")
@@ -431,10 +459,10 @@ def round_trip(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, g
     names = ["doc_id", "ids", "n_decoded", "round_trip"]
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode, text_of = lattice(model).encode, Decoder(model).text
+        encode, text_of = lattice(model).encoded, Decoder(model).text
         texts = [t or "" for t in batch.column("text").to_pylist()]
         ids = [encode(t) for t in texts]
-        decoded = [text_of(x) for x in ids]
+        decoded = [text_of(np.frombuffer(x, np.int32).tolist()) for x in ids]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), _ids(ids), pa.array(list(map(len, decoded)), pa.int64()), pa.array([a == b for a, b in zip(texts, decoded)])], names=names)
 
     whole = in_batches(docs.where(~_is_long(giant)), step, "doc_id bigint, ids array<int>, n_decoded bigint, round_trip boolean", 500)
