@@ -199,6 +199,11 @@ def _joined(table: pa.Table, least: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "links": pa.array(np.concatenate([links[at], np.zeros(len(forest), np.int64)]))})
 
 
+def _large(rows: DataFrame) -> DataFrame:
+    """A side that grows with the input: joined by sort and merge at every size, never broadcast."""
+    return rows.hint("merge")
+
+
 def _strong(first: DataFrame, least: int, extra: int) -> DataFrame:
     """Sets that can have a link: ``node, n, pivot`` of shown shingles that another set shows too, for sets with enough of them.
 
@@ -207,9 +212,9 @@ def _strong(first: DataFrame, least: int, extra: int) -> DataFrame:
     """
     pivots = first.select("node", "n", F.explode("first").alias("pivot"))
     shared = pivots.groupBy("pivot").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("pivot")
-    met = saved(pivots.join(saved(shared), "pivot").select("node", "n", "pivot").distinct())
+    met = saved(pivots.join(_large(saved(shared)), "pivot").select("node", "n", "pivot").distinct())
     counts = met.groupBy("node", "n").agg(F.count(F.lit(1)).alias("met"))
-    return met.join(counts.where(F.col("met") >= _needed(least, extra)).select("node"), "node")
+    return met.join(_large(counts.where(F.col("met") >= _needed(least, extra)).select("node")), "node")
 
 
 def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int) -> DataFrame:
@@ -239,11 +244,11 @@ def _islands(members: DataFrame, least: int) -> DataFrame:
     left = saved(_strong(members.select("node", "n", "first"), least, EXTRA[1]).select("node", "n", "pivot"))
     # Sets that went may have been what others shared: count once more among those left.
     again = left.groupBy("pivot").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b < high").select("pivot", "b")
-    met = left.join(again, "pivot")
+    met = left.join(_large(again), "pivot")
     firm = met.groupBy("node", "n").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= _needed(least, EXTRA[1])).select("node")
-    kept = saved(met.join(firm, "node").select("node", "n", "pivot"))
+    kept = saved(met.join(_large(firm), "node").select("node", "n", "pivot"))
     centre = kept.groupBy("pivot").agg(F.min("node").alias("b"))
-    edges = kept.join(centre, "pivot").where("node <> b").groupBy("node", "n", "b").agg(F.count(F.lit(1)).alias("c"))
+    edges = kept.join(_large(centre), "pivot").where("node <> b").groupBy("node", "n", "b").agg(F.count(F.lit(1)).alias("c"))
     # Each region leads to its smallest set. A set may leave its weakest of these edges away while they stand
     # for less than half of the shingles needed: two linked sets then still keep an edge to a common set.
     weakest = Window.partitionBy("node").orderBy("c", "b").rowsBetween(Window.unboundedPreceding, 0)
