@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import time
@@ -79,12 +80,27 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(modulus)
 
 
+def _trim() -> None:
+    """Give memory that a task has freed back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow`` with batches that suit whole texts: both sides hold several of them for each task."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
         df.sparkSession.conf.set(name, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return df.mapInArrow(task, schema)
 
 
 def in_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 1_000) -> DataFrame:
@@ -110,7 +126,7 @@ class Remembered(dict):
     Keys of over ``longest`` characters are made anew each time.
     """
 
-    def __init__(self, make: Callable, most: int = 200_000, longest: int = 64):
+    def __init__(self, make: Callable, most: int = 150_000, longest: int = 64):
         self.make, self.most, self.longest, self.old = make, most, longest, {}
 
     def __missing__(self, key):

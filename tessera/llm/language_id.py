@@ -24,7 +24,7 @@ ORDER = 5
 SAMPLE_TEXTS = 300
 SAMPLE_LENGTH = 20_000
 UNKNOWN = "und"
-CACHED = 350_000
+CACHED = 250_000
 LETTERS = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id bigint, lang_pred string, score double, cross_entropy double, rejected boolean"
 
