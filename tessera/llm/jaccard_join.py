@@ -51,12 +51,12 @@ def node_of(values: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63)
 
 
-def common_shingles(docs: DataFrame) -> np.ndarray:
+def common_shingles(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
     """Shingles that several different sets of a bounded sample hold, sorted; they only decide an order."""
     n = docs.count()
     place = F.abs(F.xxhash64("doc_id", F.lit(3)) % 1_000_000)
     rows = docs.where((place < min(1_000_000, int(1e6 * SAMPLE / max(1, n)) + 1)) & (F.length("text") <= SAMPLE_LENGTH)).select("text").toArrow()
-    sets = {node_of(s): s for t in rows["text"].cast(pa.binary()).to_pylist() if len(s := shingles(t))}
+    sets = {node_of(s): s for t in rows["text"].cast(pa.binary()).to_pylist() if len(s := shingles(t, width))}
     if not sets:
         return np.zeros(0, np.uint64)
     values, times = np.unique(np.concatenate(list(sets.values())), return_counts=True)
@@ -87,7 +87,7 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)))
 
 
-def _described(docs: DataFrame, last: np.ndarray, least: int) -> DataFrame:
+def _described(docs: DataFrame, last: np.ndarray, least: int, width: int) -> DataFrame:
     """Set name, size and first shingles of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(last)  # at most a third of the sample's shingles
 
@@ -98,7 +98,7 @@ def _described(docs: DataFrame, last: np.ndarray, least: int) -> DataFrame:
                 batch = whole.slice(begin, 1_000)
                 nodes, sizes, first = [], [], []
                 for text in utf8(batch, "text"):
-                    values = shingles(text)
+                    values = shingles(text, width)
                     nodes.append(node_of(values) if len(values) else None)
                     sizes.append(len(values))
                     first.append(shown(values, last, least, EXTRA[0]))
@@ -217,7 +217,7 @@ def _strong(first: DataFrame, least: int, extra: int) -> DataFrame:
     return met.join(_large(counts.where(F.col("met") >= _needed(least, extra)).select("node")), "node")
 
 
-def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int) -> DataFrame:
+def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int, width: int) -> DataFrame:
     """Shingles of the sets that the first round leaves, from one document of each, with those that the second round shows.
 
     Rows that share id and text give their set several times; what follows counts it once.
@@ -232,7 +232,7 @@ def _members(docs: DataFrame, described: DataFrame, last: np.ndarray, least: int
         for whole in batches:
             for begin in range(0, whole.num_rows, 500):
                 batch = whole.slice(begin, 500)
-                values = [shingles(t) for t in utf8(batch, "text")]
+                values = [shingles(t, width) for t in utf8(batch, "text")]
                 first = _lists([shown(v, shared.value, least, EXTRA[1]) for v in values])
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list(map(len, values)), pa.int64()), first, pa.array([v.tobytes() for v in values], pa.binary())], names=["node", "n", "first", "members"])
 
@@ -281,19 +281,19 @@ def _dealt(members: DataFrame, least: int) -> DataFrame:
     return rows.select("label", "node", "members", F.explode(F.concat(same, lower, upper)).alias("at")).select("label", "at.*", "node", "members")
 
 
-def join(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def join(docs: DataFrame, least: int = LEAST, width: int = WIDTH) -> DataFrame:
     """Classes of documents linked by shingle sets of at least ``least`` % Jaccard similarity.
 
-    Returns ``doc_id, row, n_shingles, component_id, n_links, class_id``, one row for each input row. Shingles are four
+    Returns ``doc_id, row, n_shingles, component_id, n_links, class_id``, one row for each input row. Shingles are ``width``
     words, of texts in lower case (A-Z only); a shorter text's words are one. ``component_id`` is the smallest
     id that links lead to, ``n_links`` the number of other different sets that the document's set is linked
     with. Documents without words are linked with nothing and stand alone under their own id. Null ids never
     name a class unless it has no other. Equal texts and equal sets are one class; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
-    last = common_shingles(docs)
-    described = saved(_described(docs, last, least))
-    members = saved(_members(docs, described, last, least))
+    last = common_shingles(docs, width)
+    described = saved(_described(docs, last, least, width))
+    members = saved(_members(docs, described, last, least, width))
     members = saved(members.select("node", "n", "members").join(_islands(members, least), "node"))
     groups = _dealt(members, least).groupBy("label", "low", "i", "j")
     found = saved(groups.applyInArrow(lambda table: _joined(table, least), "a bigint, b bigint, links bigint"))
@@ -306,12 +306,12 @@ def join(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return rows.join(dealt_anew(ids), "class", "left").select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("first_id", "doc_id").alias("component_id"), "n_links", F.col("class").alias("class_id"))
 
 
-def representatives(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def representatives(docs: DataFrame, least: int = LEAST, width: int = WIDTH) -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest id, a null id only where there is no other.
 
     Documents without words stay. Rows that share id and text are one document. All columns are kept.
     """
-    found = join(docs, least)
+    found = join(docs, least, width)
     one = found.where("class_id is not null").groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("of"))
     alone = found.where("class_id is null").select(F.col("doc_id").isNull().alias("kept_none"), F.coalesce("doc_id", F.lit(0)).alias("kept_id"), F.col("row").alias("kept_row"))
     kept = one.select(F.col("of.none").alias("kept_none"), F.coalesce("of.doc_id", F.lit(0)).alias("kept_id"), F.col("of.row").alias("kept_row")).unionByName(alone).distinct()

@@ -136,3 +136,16 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (300, 300)]
     found = {r["node"]: r["label"] for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert found == {i: 0 for i in range(41)} | {100: 0, 200: 200, 201: 200}
+
+
+def test_join_takes_width_and_least(spark):
+    rows = [*AWKWARD, *near_copies(), (802, "a b c d"), (803, "A B c d")]
+    sets = {}
+    for doc, text in rows:
+        w = (text or "").encode().lower().split()
+        if w:
+            sets.setdefault(frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))), []).append(doc)
+    linked = [{b for b in sets if a != b and 100 * len(a & b) >= 80 * len(a | b)} for a in sets]
+    expected = sorted((doc, len(a), len(near)) for (a, docs), near in zip(sets.items(), linked) for doc in docs if doc is not None)
+    found = jaccard_join.join(frame(spark, rows), 80, 5).where("doc_id is not null and n_shingles > 0").collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["n_links"]) for r in found) == expected

@@ -48,3 +48,14 @@ def test_every_operator_has_one_query():
         assert sum(name.startswith(f"op{n}_") for name in found) == 1
     assert "pipeline" in found and set(ORACLE_SQL) <= set(QUERIES)
     assert prose(1, 3)
+
+
+def test_near_duplicate_stage_takes_five_words_and_80_percent(spark):
+    base = [f"v{i}" for i in range(100)]
+    edited, further = list(base), list(base)
+    for i in (30, 60):
+        edited[i] = "other"  # 89 of 105 four-word shingles, 86 of 106 five-word ones
+    for i in (20, 50, 80):
+        further[i] = "another"  # 81 of 111 five-word ones
+    docs = frame(spark, [(1, " ".join(base)), (2, " ".join(edited)), (3, " ".join(further))])
+    assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs, "").collect()} == {1, 3}
