@@ -8,6 +8,7 @@ vector through one direction only, each word is scored once as its vector's proj
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hash_words, held, id_remainder, in_batches, mix, utf8, word_ngrams
+from tessera.llm.common import GOLDEN, hash_words, held, id_remainder, in_batches, mix, rolled, utf8, word_ngrams
 
 BUCKETS = 1 << 18
 DIMENSIONS = 12
@@ -26,6 +27,8 @@ SAMPLE_LENGTH = 30_000
 NGRAMS = range(3, 5)
 REPEATED = 0
 CACHED = 500_000
+CACHED_BYTES = 32_000_000
+SLICE = 65_536
 SCHEMA = "doc_id bigint, score double, predicted int"
 
 
@@ -34,12 +37,8 @@ def _words(text: bytes) -> list[bytes]:
 
 
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of all words' features, each one's word, and a 64-bit hash of each word.
-
-    A word longer than 64 characters has the n-grams of its first and last 32.
-    """
+    """Buckets of all words' features, each one's word, and a 64-bit hash of each word."""
     texts = [w.decode("utf-8", "replace") for w in words]
-    texts = [t if len(t) <= 64 else t[:32] + t[-32:] for t in texts]
     features, owners = [], []
     hashes = mix(hash_words(words))
     features.append(hashes % np.uint64(BUCKETS))
@@ -50,6 +49,16 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(features).astype(np.int64), np.concatenate(owners), hashes
 
 
+def sliced_ngrams(word: bytes) -> Iterator[np.ndarray]:
+    """Buckets of a word's n-grams as ``subwords`` has them, of one slice at a time; an n-gram is of the slice where it starts."""
+    padded = f"\x02{word.decode('utf-8', 'replace')}\x03"
+    for begin in range(0, len(padded), SLICE):
+        codes = np.frombuffer(padded[begin : begin + SLICE + max(NGRAMS) - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
+        for n in NGRAMS:
+            grams = mix(rolled(codes[: SLICE + n - 1], n) + np.uint64(n * GOLDEN % (1 << 64)))
+            yield (grams % np.uint64(BUCKETS)).astype(np.int64)
+
+
 def pairs(hashes: np.ndarray) -> np.ndarray:
     """Buckets of the pairs of neighbouring words; a word repeated is one feature, whatever the word."""
     either = (mix(hashes[:-1] * np.uint64(3) + hashes[1:]) % np.uint64(BUCKETS)).astype(np.int64)
@@ -142,6 +151,7 @@ class WordScores:
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
+        self.bytes = 0
         self.score, self.hash = np.zeros(1024), np.zeros(1024, np.uint64)
 
     def learn(self, words: set[bytes]) -> None:
@@ -150,12 +160,24 @@ class WordScores:
         if end > len(self.score):
             more = max(end, len(self.score))
             self.score, self.hash = np.concatenate([self.score, np.zeros(more)]), np.concatenate([self.hash, np.zeros(more, np.uint64)])
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        short = [w for w in new if len(w) <= 64]
+        for at in range(0, len(short), 20_000):
+            part = short[at : at + 20_000]
             feature, owner, hashes = subwords(part)
             self.score[begin + at : begin + at + len(part)] = np.bincount(owner, self.model.projected[feature], len(part)) / np.bincount(owner, minlength=len(part))
             self.hash[begin + at : begin + at + len(part)] = hashes
-        self.index.update(zip(new, range(begin, end)))
+        long = [w for w in new if len(w) > 64]
+        if long:
+            hashes = mix(hash_words(long))
+            own = self.model.projected[(hashes % np.uint64(BUCKETS)).astype(np.int64)]
+            for at, word in enumerate(long, begin + len(short)):
+                total, n = own[at - begin - len(short)], 1
+                for feature in sliced_ngrams(word):
+                    total, n = total + self.model.projected[feature].sum(), n + len(feature)
+                self.score[at] = total / n
+            self.hash[begin + len(short) : end] = hashes
+        self.bytes += sum(map(len, new))
+        self.index.update(zip(short + long, range(begin, end)))
 
     def of(self, text: bytes) -> float:
         """Mean projection of a document's words and word pairs."""
@@ -163,7 +185,7 @@ class WordScores:
         for begin in range(0, len(words), 200_000):
             part = words[begin : begin + 200_000]
             missing = set(part).difference(self.index)
-            if len(self.index) + len(missing) > CACHED:
+            if missing and (len(self.index) + len(missing) > CACHED or self.bytes > CACHED_BYTES):
                 self.clear()
                 missing = set(part)
             if missing:

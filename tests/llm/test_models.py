@@ -105,3 +105,19 @@ def test_word_scores_sum_to_the_document_s_score():
         buckets, share = quality._document(text)
         assert cache.of(text) == pytest.approx(float(share @ model.projected[buckets]), rel=1e-6, abs=1e-9)
     assert cache.of(b"") == 0.0 and cache.of(b"one") != 0.0
+
+
+def test_quality_reads_the_middle_of_long_words(monkeypatch):
+    rng = random.Random(12)
+    rows = [("".join(chr(rng.randrange(*((0x4E00, 0x4E06) if good else (0x5E00, 0x5E06)))) for _ in range(rng.randint(80, 300))), good) for _ in range(200) for good in [rng.randrange(2)]]
+    ends = "".join(chr(0x6E00 + i) for i in range(32))
+    rows = [((ends + text + ends).encode(), good) for text, good in rows]
+    model = quality.fit(rows[:150])
+    cache = quality.WordScores(model)
+    assert np.mean([(model.probability(cache.of(text)) >= 0.5) == good for text, good in rows[150:]]) > 0.95
+    for size in (7, 64, 65_536):
+        monkeypatch.setattr(quality, "SLICE", size)
+        cache = quality.WordScores(model)
+        for text, _ in rows[:20]:
+            buckets, share = quality._document(text + b" and more")
+            assert cache.of(text + b" and more") == pytest.approx(float(share @ model.projected[buckets]), rel=1e-6, abs=1e-9)
