@@ -3,8 +3,9 @@
 Each language has a model of the characters of a word, given the characters before them. All languages
 share one sorted array of n-gram hashes for each order; beside it stand each language's probability of
 the n-gram's last character and, for contexts, its back-off weight. A text goes to the language with
-the lowest cross-entropy per character, unless that is far above what held-back training texts of the
-language have.
+the lowest cross-entropy per character. It is rejected if its words, each in the language that knows it
+best, are far above what held-back training texts of its language have: so a text in several known
+languages stays.
 """
 
 from __future__ import annotations
@@ -101,7 +102,7 @@ class LanguageModels:
         return out, size
 
     def threshold(self, language: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-        """Cross-entropy above which a text of so many words is none of the language."""
+        """Cross-entropy of words in their best languages above which a text of so many different words is rejected."""
         return self.expected[language] + 6.0 * np.sqrt(self.wobble[language] ** 2 / np.maximum(n_words, 1) + self.spread[language] ** 2)
 
 
@@ -185,7 +186,11 @@ def _ordered(grams: list[str], log_p: np.ndarray) -> Order:
 
 
 def _calibrate(models: LanguageModels, held: dict[str, list[str]]) -> None:
-    """Each language's usual cross-entropy and its spread over words and texts, and the scores' temperature."""
+    """What rejection needs of each language's held-back texts, and the scores' temperature.
+
+    Rejection takes the usual cross-entropy of words in their best languages and its spread over words and
+    texts. A spread of 0.3 counts as one more text, for languages with few of them.
+    """
     n = len(models.languages)
     models.expected, models.spread, models.wobble = np.full(n, 3.0), np.full(n, 0.5), np.full(n, 1.0)
     rows, right = [], []
@@ -196,12 +201,13 @@ def _calibrate(models: LanguageModels, held: dict[str, list[str]]) -> None:
                 total, size = models.log_probabilities(words)
                 rows.append(-total.sum(0) / size.sum())
                 right.append(j)
-                entropies.append(rows[-1][j])
-                by_word.append(-total[:, j] / size)
+                lowest = -total.max(axis=1)
+                entropies.append(lowest.sum() / size.sum())
+                by_word.append(lowest / size)
         if entropies:
             models.expected[j] = np.mean(entropies)
-            models.wobble[j] = max(0.5, np.std(np.concatenate(by_word)))
-            models.spread[j] = max(0.3, np.std(entropies))
+            models.wobble[j] = np.std(np.concatenate(by_word))
+            models.spread[j] = np.sqrt((len(entropies) * np.var(entropies) + 0.3**2) / (len(entropies) + 1))
     if rows:
         entropy, right = np.array(rows), np.array(right)
         models.temperature = min((2.0**-t for t in range(8)), key=lambda t: -np.log(_posterior(entropy, t)[np.arange(len(right)), right] + 1e-12).mean())
@@ -233,7 +239,7 @@ def training_texts(docs: DataFrame, keep, per_language: int = SAMPLE_TEXTS) -> d
 
 
 class WordScores:
-    """Log probabilities of the words met so far, by language; emptied when full."""
+    """Log probabilities of the words met so far, by language and the best of them, and sizes; emptied when full."""
 
     def __init__(self, models: LanguageModels):
         self.models = models
@@ -241,7 +247,7 @@ class WordScores:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(self.models.languages) + 1), np.float32)
+        self.rows = np.zeros((1024, len(self.models.languages) + 2), np.float32)
 
     def learn(self, words: set[str]) -> None:
         if len(self.index) + len(words) > CACHED:
@@ -255,7 +261,7 @@ class WordScores:
         end = len(self.index) + len(new)
         if end > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros((max(end, len(self.rows)), self.rows.shape[1]), np.float32)])
-        self.rows[len(self.index) : end] = np.column_stack([total, size])
+        self.rows[len(self.index) : end] = np.column_stack([total, total.max(axis=1), size])
         self.index.update(zip(new, range(len(self.index), end)))
 
 
@@ -266,29 +272,30 @@ def _scores(models: LanguageModels) -> WordScores:
 def _judged(models: LanguageModels, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Language, score, cross-entropy (nan for none) and rejection of each text."""
     cache, n = _scores(models), len(texts)
-    totals, counts = np.zeros((n, len(models.languages) + 1)), np.zeros(n, np.int64)
+    totals, counts = np.zeros((n, len(models.languages) + 2)), np.zeros(n, np.int64)
     for i, text in enumerate(texts):
         words = words_of(text) if text else []
         if not words or not models.languages:
             continue
         for begin in range(0, len(words), 100_000):
             part = words[begin : begin + 100_000]
-            if missing := set(part).difference(cache.index):
-                cache.learn(set(part) if len(cache.index) + len(missing) > CACHED else missing)
+            different = set(part)
+            counts[i] = max(counts[i], len(different))  # repeats tell nothing more
+            if missing := different.difference(cache.index):
+                cache.learn(different if len(cache.index) + len(missing) > CACHED else missing)
             at = np.fromiter(map(cache.index.__getitem__, part), np.int64, len(part))
             totals[i] += cache.rows[at].sum(axis=0, dtype=np.float64)
-        counts[i] = len(words)
     size = totals[:, -1]
     some = size > 0
     language, score = np.full(n, UNKNOWN, object), np.zeros(n)
     lowest, rejected = np.full(n, np.nan), np.ones(n, bool)
     if some.any():
-        entropy = -totals[some, :-1] / size[some, None]
+        entropy = -totals[some, :-2] / size[some, None]
         best = entropy.argmin(axis=1)
         language[some] = np.array(models.languages, object)[best]
         lowest[some] = entropy[np.arange(len(best)), best]
         score[some] = _posterior(entropy, models.temperature)[np.arange(len(best)), best]
-        rejected[some] = lowest[some] > models.threshold(best, counts[some])
+        rejected[some] = -totals[some, -2] / size[some] > models.threshold(best, counts[some])
     return language, score, lowest, rejected
 
 

@@ -121,3 +121,15 @@ def test_quality_reads_the_middle_of_long_words(monkeypatch):
         for text, _ in rows[:20]:
             buckets, share = quality._document(text + b" and more")
             assert cache.of(text + b" and more") == pytest.approx(float(share @ model.projected[buckets]), rel=1e-6, abs=1e-9)
+
+
+def test_texts_of_a_language_left_out_are_rejected():
+    rng = random.Random(21)
+    near = {"aa": "ka lo mi tun re", "bb": "she ord ing ka ve", "cc": "ka lo mi tun er"}
+    say = lambda k, n: " ".join("".join(rng.choice(near[k].split()) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    models = language_id.fit({k: [say(k, 60) for _ in range(100)] for k in ("aa", "bb")})
+    rejected = lambda texts: language_id._judged(models, texts)[3].tolist()
+    assert all(rejected([say("cc", 60) for _ in range(50)]))
+    assert not any(rejected([say(k, 60) for k in ("aa", "bb") for _ in range(50)]))
+    assert not any(rejected([f"{say('aa', 40)} {say('bb', 30)}" for _ in range(50)]))
+    assert not any(rejected(["ka lo", "Tunmi " * 400]))
