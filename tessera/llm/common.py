@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
-import gc
+import re
 import tempfile
-import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -26,33 +26,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``, which every executor reaches; one of its own only where none is set, as in tests."""
+    """The session's ``spark.checkpoint.dir``, which every executor reaches.
+
+    Where none is set, a session whose tasks all run on this machine, as in tests, gets one; any other is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
         folder = tempfile.mkdtemp(prefix="tessera-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-def _free(spark: SparkSession) -> None:
-    """Have the driver drop finished plans; their last holders, such as queued events, let go a moment later."""
-    for pause in (0.0, 0.3):
-        time.sleep(pause)
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+@contextlib.contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
-def saved(df: DataFrame, free: bool = True) -> DataFrame:
+def saved(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: its lineage is cut and it is computed once.
 
-    Shuffle files go when the driver collects the plans that made them as garbage, so it is asked to; ``free``
-    is for plans that shuffle much.
+    Shuffle files of the write go when it ends, as nothing reads them again. ``dropped`` deletes the table.
     """
-    path = f"{shared_folder(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if free:
-        _free(df.sparkSession)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tessera-{uuid.uuid4().hex}"
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``saved`` wrote, once all that is made of them is written."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def dealt_anew(df: DataFrame) -> DataFrame:
@@ -70,7 +89,7 @@ def small(keys: DataFrame, weight: Column | None = None) -> DataFrame:
     The rows are ids and numbers of fixed size, so ``BROADCAST_ROWS`` of them take some 20 MB. ``weight`` says how
     many such rows a row with an array stands for.
     """
-    held = saved(keys, free=False)
+    held = saved(keys)
     n = held.agg(F.coalesce(F.sum(F.lit(1) if weight is None else weight), F.lit(0))).first()[0]
     return F.broadcast(held) if n <= BROADCAST_ROWS else held
 

@@ -12,7 +12,7 @@ def frame(spark, rows, extra=False):
     if extra:
         from pyspark.sql import functions as F
 
-        df = df.withColumns({c: F.lit("x") for c in ("row", "score", "node", "label", "spans", "ids", "shard", "n", "k", "words", "hash", "first", "bucket", "own_id", "kept_id")})
+        df = df.withColumns({c: F.lit("x") for c in ("row", "score", "node", "label", "spans", "ids", "shard", "n", "k", "words", "hash", "first", "bucket", "own_id", "kept_id", "key_id", "component_id", "all", "first_row")})
     return df
 
 
