@@ -407,7 +407,7 @@ def join(docs: DataFrame, least: int = LEAST, width: int = WIDTH) -> DataFrame:
     found = _members(docs, described, sets, least, width)
     rows, described = saved(rows), dropped(described)
     islands = _islands(found, least)
-    members = found.where("bucket is null").select("node", "node2", "n", "members").join(islands, "node")
+    members = found.where("bucket is null").select("node", "node2", "n", "members").join(small(islands), "node")
     if members.groupBy("node", "node2").count().where("count > 1").limit(1).count():
         # Rows that share id and text give their set several times.
         members = members.dropDuplicates(["node", "node2"])

@@ -15,7 +15,7 @@ PAIRS = 2_000_000
 
 def bucket_count(spark: SparkSession) -> int:
     """Buckets follow the session's shuffle partitions, which are sized with the data."""
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
