@@ -59,9 +59,6 @@ class Lattice:
         self.plain = Remembered(lambda word: self._word(SPACE + word), 120_000)
         #: Pieces that merges reach at all; some BPE vocabularies hold others.
         self.good = {piece for piece in self.ids if not self.bpe or self._merged(piece) == [piece]}
-        #: Ids and weight of the best path over a stretch without a cut inside; ids of a word.
-        self.atoms = Remembered(self._atom, 200_000)
-        self.words = Remembered(self._word, 250_000)
 
     # Weights
 
@@ -432,7 +429,9 @@ def decode(encoded: DataFrame, model: SentencePieceModel) -> DataFrame:
     """Adds ``decoded``: the text of each row's ``ids`` (null where they are null).
 
     Space marks become spaces and the mark that encoding puts in front goes again; runs of byte pieces
-    become characters, and the replacement character where they are no valid UTF-8.
+    become characters, and the replacement character where they are no valid UTF-8. Empty ids give the empty
+    text. A column ``decoded`` that is there already is replaced; the other columns, repeated rows and null ids stay, and
+    an empty table gives an empty one.
     """
     encoded = encoded.drop("decoded")
     names = encoded.columns
