@@ -99,8 +99,8 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(modulus)
 
 
-def _trim() -> None:
-    """Give memory that a task has freed back to the system; workers live on between tasks."""
+def trim() -> None:
+    """Give freed memory back to the system: workers live on between tasks, and the driver after a fit."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
@@ -117,7 +117,7 @@ def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
         try:
             yield from run(batches)
         finally:
-            _trim()
+            trim()
 
     return df.mapInArrow(task, schema)
 

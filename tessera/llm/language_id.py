@@ -13,17 +13,18 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held, id_remainder, in_batches, mix, word_ngrams
+from tessera.llm.common import held, id_remainder, in_batches, mix, trim, word_ngrams
 
 ORDER = 5
 SAMPLE_TEXTS = 300
-SAMPLE_LENGTH = 20_000
+SAMPLE_CHARACTERS = 4_000_000
 UNKNOWN = "und"
 CACHED = 250_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -175,6 +176,7 @@ def fit(texts: dict[str, list[str]], order: int = ORDER) -> LanguageModels:
     models = LanguageModels(languages, floor, grams, contexts)
     held = {k: [t for i, t in enumerate(texts[k]) if not i % 5] for k in languages}
     _calibrate(models, held)
+    trim()
     models.digest = str(hash(tuple(o.keys.tobytes() + o.log_p.tobytes() for o in grams)))
     return models
 
@@ -219,20 +221,30 @@ def _posterior(entropy: np.ndarray, temperature: float) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def training_texts(docs: DataFrame, keep, per_language: int = SAMPLE_TEXTS) -> dict[str, list[str]]:
+def training_texts(docs: DataFrame, keep, per_language: int = SAMPLE_TEXTS, most: int = SAMPLE_CHARACTERS) -> dict[str, list[str]]:
     """At most ``per_language`` different texts of each language, from the rows that ``keep`` allows.
 
-    The sample is the rows whose hashed id falls under each language's share, so one pass finds it and it
-    is the same at every run; texts of over ``SAMPLE_LENGTH`` characters are left to prediction.
+    The sample is the rows whose hashed id falls under each language's share, so it is the same at every run.
+    Texts are taken whole, whatever their length, and in the order of that hash; once those of a language
+    have ``most`` characters together, no more of it are taken.
     """
-    rows = docs.where(keep & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_LENGTH))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     place = F.abs(F.xxhash64("doc_id", F.lit(11)) % 1_000_000)
+    rows = docs.where(keep & (F.length("text") > 0) & F.col("lang").isNotNull()).select("doc_id", "text", "lang", place.alias("place"), F.length("text").alias("size"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = F.lit(False)
     for language, n in sorted(counts.items()):
-        chosen = chosen | ((F.col("lang") == language) & (place < min(1_000_000, int(1.5e6 * per_language / n) + 1)))
+        chosen = chosen | ((F.col("lang") == language) & (F.col("place") < min(1_000_000, int(1.5e6 * per_language / n) + 1)))
+    sizes: dict[str, list[tuple[int, int]]] = {}
+    for row in rows.where(chosen).select("lang", "place", "size").collect() if counts else []:
+        sizes.setdefault(row["lang"], []).append((row["place"], row["size"]))
+    taken = F.lit(False)
+    for language, each in sorted(sizes.items()):
+        each.sort()
+        before = [0, *accumulate(size for _, size in each)]
+        last = max(place for (place, _), start in zip(each, before) if start < most)
+        taken = taken | ((F.col("lang") == language) & (F.col("place") <= last))
     texts: dict[str, list[str]] = {}
-    for row in rows.where(chosen).select("lang", "text", place.alias("place"), "doc_id").collect() if counts else []:
+    for row in rows.where(chosen & taken).select("lang", "text", "place", "doc_id").collect() if sizes else []:
         texts.setdefault(row["lang"], []).append((row["place"], row["doc_id"] or 0, row["text"]))
     found = {k: list(dict.fromkeys(t for *_, t in sorted(v)))[:per_language] for k, v in texts.items()}
     return {k: v for k, v in found.items() if any(words_of(t) for t in v)}
@@ -318,7 +330,11 @@ def predict(docs: DataFrame, models: LanguageModels) -> DataFrame:
 
 
 def accepted(docs: DataFrame, models: LanguageModels) -> DataFrame:
-    """``docs`` without the rows that ``predict`` rejects; all columns are kept as they are."""
+    """``docs`` without the rows that ``predict`` rejects; all columns are kept as they are.
+
+    So null and empty texts go, and texts without a letter; repeated rows and null ids go or stay by their
+    text. Without a learned language every row goes; an empty table gives an empty one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(models)
     at = docs.columns.index("text")
 
