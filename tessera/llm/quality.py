@@ -10,20 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import GOLDEN, hash_words, held, id_remainder, in_batches, mix, rolled, utf8, word_ngrams
+from tessera.llm.common import GOLDEN, hash_words, held, id_remainder, in_batches, mix, rolled, trim, utf8, word_ngrams
 
 BUCKETS = 1 << 18
 DIMENSIONS = 12
 EPOCHS = 6
 RATE = 0.4
 SAMPLE = 6_000
-SAMPLE_LENGTH = 30_000
+SAMPLE_CHARACTERS = 40_000_000
 NGRAMS = range(3, 5)
 REPEATED = 0
 CACHED = 500_000
@@ -36,17 +37,22 @@ def _words(text: bytes) -> list[bytes]:
     return text.split()
 
 
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    """Buckets of hashed features; the one of repeated words is theirs alone."""
+    return (hashes % np.uint64(BUCKETS - 1) + np.uint64(REPEATED + 1)).astype(np.int64)
+
+
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all words' features, each one's word, and a 64-bit hash of each word."""
     texts = [w.decode("utf-8", "replace") for w in words]
     features, owners = [], []
     hashes = mix(hash_words(words))
-    features.append(hashes % np.uint64(BUCKETS))
+    features.append(_buckets(hashes))
     owners.append(np.arange(len(words)))
     for _, grams, owner in word_ngrams(texts, NGRAMS):
-        features.append(grams % np.uint64(BUCKETS))
+        features.append(_buckets(grams))
         owners.append(owner)
-    return np.concatenate(features).astype(np.int64), np.concatenate(owners), hashes
+    return np.concatenate(features), np.concatenate(owners), hashes
 
 
 def sliced_ngrams(word: bytes) -> Iterator[np.ndarray]:
@@ -56,12 +62,12 @@ def sliced_ngrams(word: bytes) -> Iterator[np.ndarray]:
         codes = np.frombuffer(padded[begin : begin + SLICE + max(NGRAMS) - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
         for n in NGRAMS:
             grams = mix(rolled(codes[: SLICE + n - 1], n) + np.uint64(n * GOLDEN % (1 << 64)))
-            yield (grams % np.uint64(BUCKETS)).astype(np.int64)
+            yield _buckets(grams)
 
 
 def pairs(hashes: np.ndarray) -> np.ndarray:
     """Buckets of the pairs of neighbouring words; a word repeated is one feature, whatever the word."""
-    either = (mix(hashes[:-1] * np.uint64(3) + hashes[1:]) % np.uint64(BUCKETS)).astype(np.int64)
+    either = _buckets(mix(hashes[:-1] * np.uint64(3) + hashes[1:]))
     return np.where(hashes[:-1] == hashes[1:], REPEATED, either)
 
 
@@ -121,24 +127,31 @@ def fit(rows: list[tuple[bytes, int]], seed: int = 7) -> Classifier:
             if len(buckets):
                 # Features spread over a whole document get tiny shares; steps are scaled to their mean.
                 vectors[buckets] -= rate * (share / np.float32(np.square(share).sum() + 1e-12))[:, None] * np.float32(0.1) * back
+    del documents
+    trim()
     projected = (vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64)
     return Classifier(projected, float(bias[1] - bias[0]), str(abs(hash(projected.tobytes()))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, keep, bound: int = SAMPLE) -> list[tuple[bytes, int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, keep, bound: int = SAMPLE, most: int = SAMPLE_CHARACTERS) -> list[tuple[bytes, int]]:
     """At most ``bound`` labelled documents that ``keep`` allows, chosen by their hashed ids (the same at every run).
 
-    Documents of over ``SAMPLE_LENGTH`` characters are left to scoring. Null labels, and ids whose labels
-    contradict each other, teach nothing.
+    Texts are taken whole, whatever their length, and in the order of that hash; once they have ``most``
+    characters together, no more are taken. Null labels, and ids whose labels contradict each other, teach
+    nothing.
     """
     clean = labels.where(keep & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
     clean = clean.where("low = high").select("doc_id", F.col("low").alias("label"), F.abs(F.xxhash64("doc_id", F.lit(5))).alias("place"))
     chosen = clean.orderBy("place", "doc_id").limit(bound)  # bounded, so it may be broadcast
-    rows = docs.where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_LENGTH)).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = rows.select("place", "doc_id", "label", "text").toLocalIterator()
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sizes = sorted((r["place"], r["size"]) for r in rows.groupBy("doc_id", "place").agg(F.max(F.length("text")).alias("size")).collect())
+    before = [0, *accumulate(size for _, size in sizes)]
+    last = max((place for (place, _), start in zip(sizes, before) if start < most), default=-1)
     out = {}
-    for row in found:
-        out.setdefault((row["place"], row["doc_id"]), (row["text"].encode(), row["label"]))
+    for row in rows.where(F.col("place") <= last).select("place", "doc_id", "label", "text").toLocalIterator():
+        text = row["text"].encode()
+        key = row["place"], row["doc_id"]
+        out[key] = min(out.get(key, (text, row["label"])), (text, row["label"]))  # of several texts under an id the smallest
     return [out[k] for k in sorted(out)]
 
 
@@ -169,7 +182,7 @@ class WordScores:
         long = [w for w in new if len(w) > 64]
         if long:
             hashes = mix(hash_words(long))
-            own = self.model.projected[(hashes % np.uint64(BUCKETS)).astype(np.int64)]
+            own = self.model.projected[_buckets(hashes)]
             for at, word in enumerate(long, begin + len(short)):
                 total, n = own[at - begin - len(short)], 1
                 for feature in sliced_ngrams(word):
