@@ -18,31 +18,44 @@ KINDS = {
     "hex": (r"([0-9a-f]{32,})", 1, 32),
     "owned": (r"([A-Za-z0-9+/_-]{24,})", 1, 24),
 }
-ANY = "|".join((r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]""", "AKIA[A-Z0-9]{12}", "[0-9a-f]{32}", "[A-Za-z0-9+/_-]{24}"))
 ORDER = {"assign": 0, "access": 1, "hex": 2, "owned": 3}
 BLOCK = 256
 
 
+def _may_hold(kind: str) -> Column:
+    """Whether a text can have a match of a kind; cheaper than its pattern."""
+    text = F.col("text")
+    if kind == "assign":
+        folded = F.lower(text)
+        return folded.contains("passw") | folded.contains("secret") | folded.contains("token") | folded.contains("api")
+    return text.contains("AKIA") if kind == "access" else text.rlike({"hex": "[0-9a-f]{32}", "owned": "[A-Za-z0-9+/_-]{24}"}[kind])
+
+
 def candidates(docs: DataFrame, repository: str = "source", owner: str | None = None) -> DataFrame:
-    """Every candidate as ``doc_id, row, repository, owner, kind, start, stop, value``; see ``scan``."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), F.col(repository).cast("string").alias("repository"), F.col(owner or repository).cast("string").alias("owner"), "text").where(F.col("text").rlike(ANY))
-    parts = None
-    for kind, (pattern, group, least) in KINDS.items():
-        p = F.lit(pattern)
-        split = rows.where(F.col("text").rlike(pattern)).select("doc_id", "row", "repository", "owner", F.regexp_extract_all("text", p, 0).alias("whole"), F.regexp_extract_all("text", p, group).alias("value"), F.split("text", pattern, -1).alias("gap"))
-        # Advance of each match from the last one's end, then sums of blocks of matches, then starts.
-        sized = split.withColumn("advance", F.transform("whole", lambda w, i: F.length(w) + F.length(F.get("gap", i))))
-        n = F.ceil(F.size("whole") / BLOCK).cast("int")
-        summed = sized.withColumn("sums", F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.aggregate(F.slice("advance", b * BLOCK + 1, F.lit(BLOCK)), F.lit(0), lambda s, x: s + x)))
-        blocks = summed.withColumn("heads", F.transform("sums", lambda _, b: F.aggregate(F.slice("sums", F.lit(1), b), F.lit(0), lambda s, x: s + x)))
-        ended = blocks.withColumn("ends", F.transform("whole", lambda _, i: F.get("heads", F.floor(i / BLOCK).cast("int")) + F.aggregate(F.slice("advance", (F.floor(i / BLOCK) * BLOCK).cast("int") + 1, i % BLOCK + 1), F.lit(0), lambda s, x: s + x)))
-        spans = ended.select("doc_id", "row", "repository", "owner", F.lit(kind).alias("kind"), F.explode(F.arrays_zip("whole", "value", "ends")).alias("m"))
-        spans = spans.select("doc_id", "row", "repository", "owner", "kind", (F.col("m.ends") - F.length("m.whole")).alias("start"), F.col("m.ends").alias("stop"), F.col("m.value").alias("value")).where(F.length("value") >= least)
-        if kind == "owned":
-            # Random-looking: digits and letters of both cases.
-            spans = spans.where(F.col("value").rlike("[0-9]") & F.col("value").rlike("[a-z]") & F.col("value").rlike("[A-Z]"))
-        parts = spans if parts is None else parts.unionByName(spans)
-    return parts
+    """Every candidate as ``doc_id, row, repository, owner, kind, start, stop, value``; see ``scan``.
+
+    One scan of the texts serves all kinds.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), F.col(repository).cast("string").alias("repository"), F.col(owner or repository).cast("string").alias("owner"), "text")
+    kept = ("doc_id", "row", "repository", "owner")
+    each = [F.when(_may_hold(kind), F.struct(F.lit(kind).alias("kind"), F.regexp_extract_all("text", F.lit(pattern), 0).alias("whole"), F.split("text", pattern, -1).alias("gap"))) for kind, (pattern, _, _) in KINDS.items()]
+    split = rows.select(*kept, F.explode(F.array_compact(F.array(*each))).alias("m")).select(*kept, "m.*").where(F.size("whole") > 0)
+    # Advance of each match from the last one's end, then sums of blocks of matches, then starts.
+    sized = split.withColumn("advance", F.transform("whole", lambda w, i: F.length(w) + F.length(F.get("gap", i))))
+    n = F.ceil(F.size("whole") / BLOCK).cast("int")
+    summed = sized.withColumn("sums", F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.aggregate(F.slice("advance", b * BLOCK + 1, F.lit(BLOCK)), F.lit(0), lambda s, x: s + x)))
+    blocks = summed.withColumn("heads", F.transform("sums", lambda _, b: F.aggregate(F.slice("sums", F.lit(1), b), F.lit(0), lambda s, x: s + x)))
+    ended = blocks.withColumn("ends", F.transform("whole", lambda _, i: F.get("heads", F.floor(i / BLOCK).cast("int")) + F.aggregate(F.slice("advance", (F.floor(i / BLOCK) * BLOCK).cast("int") + 1, i % BLOCK + 1), F.lit(0), lambda s, x: s + x)))
+    spans = ended.select(*kept, "kind", F.explode(F.arrays_zip("whole", "ends")).alias("m"))
+    value, least = F.col("m.whole"), F.lit(0)
+    for kind, (pattern, group, size) in KINDS.items():
+        here = F.col("kind") == kind
+        least = F.when(here, size).otherwise(least)
+        if kind == "assign":  # of the others, the whole match is the value
+            value = F.when(here, F.regexp_extract("m.whole", pattern, group)).otherwise(value)
+    found = spans.select(*kept, "kind", (F.col("m.ends") - F.length("m.whole")).alias("start"), F.col("m.ends").alias("stop"), value.alias("value")).where(F.length("value") >= least)
+    # Random-looking: digits and letters of both cases.
+    return found.where((F.col("kind") != "owned") | (F.col("value").rlike("[0-9]") & F.col("value").rlike("[a-z]") & F.col("value").rlike("[A-Z]")))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -103,14 +116,16 @@ def digests(docs: DataFrame, repository: str = "source", owner: str | None = Non
 def masked(docs: DataFrame, repository: str = "source", owner: str | None = None, mask: str = "<secret>") -> DataFrame:
     """``docs`` with ``mask`` in place of every span that looks live; touching spans get one mask.
 
-    Copied examples stay, texts without live spans are unchanged, null texts too. All columns are kept.
+    Copied examples stay, texts without live spans are unchanged, null and empty texts too. Repeated rows and
+    null ids stay, all columns are kept, whatever their names, and an empty table gives an empty one.
     """
     places = F.transform(F.filter("spans", lambda s: s["live"]), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
     live = scan(docs, repository, owner).select(F.col("doc_id").alias("masked_id"), F.col("row").alias("masked_row"), places.alias("masked_spans")).where(F.size("masked_spans") > 0)
     live = small(live, F.size("masked_spans") + 1)
-    rows = docs.withColumns({"own_id": F.col("doc_id").cast("bigint"), "own_row": F.xxhash64("text")})
+    # The row stands in one column, so its names meet no others.
+    rows = docs.select(F.struct(*docs.columns).alias("own_all"), F.col("doc_id").cast("bigint").alias("own_id"), F.xxhash64("text").alias("own_row"))
     rows = rows.join(live, F.col("own_id").eqNullSafe(F.col("masked_id")) & (F.col("own_row") == F.col("masked_row")), "left")
-    text, start = F.col("text"), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    text, start = F.col("own_all.text"), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def add(done: Column, span: Column) -> Column:
         apart = span["start"] >= done["at"]
@@ -119,4 +134,4 @@ def masked(docs: DataFrame, repository: str = "source", owner: str | None = None
 
     rest = lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text)))
     new = F.when(F.col("masked_spans").isNull(), text).otherwise(F.aggregate("masked_spans", start, add, rest))
-    return rows.withColumn("text", new).select(*docs.columns)
+    return rows.select(*(new.alias(c) if c == "text" else F.col("own_all")[c].alias(c) for c in docs.columns))
