@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions.text import number_set, token_set, words
 
+# The features' names in their order.
 FEATURES = (
     "name_ratio", "name_partial_ratio", "name_token_sort", "name_token_set", "name_wratio", "name_jaro_winkler", "name_token_jaccard",
     "name_token_overlap", "name_lev_sim", "name_len_diff_ratio", "addr_ratio", "addr_partial_ratio", "addr_token_sort", "addr_token_set",
@@ -133,20 +135,152 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro) if jaro > 0.7 else jaro
 
 
-_ALIGNED = {"ratio": ratio, "partial_ratio": partial_ratio, "token_sort": token_sort, "token_set": token_set_ratio, "wratio": weighted_ratio, "jaro_winkler": jaro_winkler}
+# The same for many pairs at once: pairs are the axis of the arrays, one bit of a 64-bit word for each character
+# of the first text. Pairs whose first text is longer take the functions above.
+
+_WORD = 64
+_CHUNK = 2_000
+Pairs = list[tuple[str, str]]
+
+
+def _codes(texts: list[str], width: int) -> np.ndarray:
+    """Characters as numbers, filled up with zeros."""
+    out = np.zeros((len(texts), width), np.uint32)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    out[np.arange(width) < sizes[:, None]] = flat
+    return out
+
+
+def _hits(first: list[str], second: list[str]) -> np.ndarray:
+    """For each character of the second text, the places of the first text that hold it, as bits; zero beyond its end."""
+    x, y = _codes(first, _WORD), _codes(second, max(1, max(map(len, second))))
+    out = np.zeros(y.shape, np.uint64)
+    for i in range(max(1, max(map(len, first)))):
+        out |= np.where((x[:, i, None] == y) & (y != 0), np.uint64(1) << np.uint64(i), np.uint64(0))
+    return out
+
+
+def _full(sizes: np.ndarray) -> np.ndarray:
+    return np.where(sizes >= _WORD, np.uint64(2**64 - 1), (np.uint64(1) << (sizes % _WORD).astype(np.uint64)) - np.uint64(1))
+
+
+def _fits(pair: tuple[str, str]) -> bool:
+    return len(pair[0]) <= _WORD and "\0" not in pair[0] and "\0" not in pair[1]
+
+
+def _ratios(pairs: Pairs) -> np.ndarray:
+    """``ratio`` of each pair."""
+    out = np.array([float(bool(a) and a == b) for a, b in pairs])
+    ordered = [(a, b) if len(a) <= len(b) else (b, a) for a, b in pairs]  # a symmetric value
+    open_ = [i for i, (a, b) in enumerate(ordered) if a and a != b]
+    for i in open_:
+        if not _fits(ordered[i]):
+            out[i] = ratio(*ordered[i])
+    open_ = sorted((i for i in open_ if _fits(ordered[i])), key=lambda i: len(ordered[i][1]))
+    for begin in range(0, len(open_), _CHUNK):
+        at = open_[begin : begin + _CHUNK]
+        first, second = [ordered[i][0] for i in at], [ordered[i][1] for i in at]
+        m, n = (np.fromiter(map(len, t), np.int64, len(at)) for t in (first, second))
+        full = _full(m)
+        row = full.copy()
+        for hit in _hits(first, second).T:
+            hit = row & hit
+            row = ((row + hit) | (row - hit)) & full
+        out[at] = 2 * (m - np.bitwise_count(row)) / (m + n)
+    return out
+
+
+def _best_windows(pairs: Pairs) -> np.ndarray:
+    """``_best_window`` of each pair (shorter, longer): all windows of all pairs step by step."""
+    out = np.zeros(len(pairs))
+    for i, pair in enumerate(pairs):
+        if not _fits(pair):
+            out[i] = _best_window(*pair)
+    order = sorted((i for i, pair in enumerate(pairs) if _fits(pair)), key=lambda i: (len(pairs[i][0]), len(pairs[i][1])))
+    while order:
+        # Pairs of one size of the shorter text, in bounded arrays.
+        m = len(pairs[order[0]][0])
+        same = next((k for k, i in enumerate(order) if len(pairs[i][0]) != m), len(order))
+        longest = len(pairs[order[same - 1]][1])
+        at, order = order[: max(1, min(same, 200_000 // (longest + m)))], order[max(1, min(same, 200_000 // (longest + m))) :]
+        first, second = [pairs[i][0] for i in at], [pairs[i][1] for i in at]
+        n = np.fromiter(map(len, second), np.int64, len(at))
+        hits = _hits(first, second)
+        width = hits.shape[1]
+        padded = np.zeros((len(at), width + 2 * (m - 1)), np.uint64)
+        padded[:, m - 1 : m - 1 + width] = hits
+        full = _full(np.array([m]))[0]
+        row = np.full((len(at), width + m - 1), full)
+        for t in range(m):
+            hit = row & padded[:, t : t + width + m - 1]
+            row = ((row + hit) | (row - hit)) & full
+        start = np.arange(width + m - 1) - (m - 1)
+        size = np.minimum(start + m, n[:, None]) - np.maximum(start, 0)
+        score = np.where(size > 0, 2 * (m - np.bitwise_count(row).astype(np.int64)) / (m + np.maximum(size, 1)), 0.0)
+        out[at] = score.max(axis=1)
+    return out
+
+
+def _partials(pairs: Pairs) -> np.ndarray:
+    """``partial_ratio`` of each pair."""
+    out = np.array([float(bool(a) and bool(b) and (a in b or b in a)) for a, b in pairs])
+    open_ = [i for i, (a, b) in enumerate(pairs) if a and b and not out[i]]
+    ordered = [tuple(sorted(pairs[i], key=len)) for i in open_]
+    out[open_] = _best_windows(ordered)
+    even = [k for k, (a, b) in enumerate(ordered) if len(a) == len(b)]
+    if even:
+        at = [open_[k] for k in even]
+        out[at] = np.maximum(out[at], _best_windows([ordered[k][::-1] for k in even]))
+    return out
+
+
+def _aligned(pairs: Pairs, kinds: tuple[str, ...]) -> dict[str, np.ndarray]:
+    """The alignment similarities named, of all pairs."""
+    out: dict[str, np.ndarray] = {}
+    wanted = set(kinds)
+    weighted = "wratio" in wanted
+    some = np.array([bool(a) and bool(b) for a, b in pairs])
+    if wanted & {"ratio", "wratio"}:
+        out["ratio"] = _ratios(pairs)
+    if wanted & {"token_sort", "wratio"}:
+        ordered = [(" ".join(sorted(a.split())), " ".join(sorted(b.split()))) for a, b in pairs]
+        out["token_sort"] = _ratios(ordered)
+    if wanted & {"token_set", "wratio"}:
+        parts = [_parts(a, b) for a, b in pairs]
+        one, two = ([f"{p[0]} {p[k]}".strip() for p in parts] for k in (1, 2))
+        both = [p[0] for p in parts]
+        best = np.maximum.reduce([_ratios(list(zip(x, y))) for x, y in ((one, two), (both, one), (both, two))])
+        inside = np.array([bool(p[0]) and not (p[1] and p[2]) for p in parts])
+        out["token_set"] = np.where(some, np.where(inside, 1.0, best), 0.0)
+    if "partial_ratio" in wanted:
+        out["partial_ratio"] = _partials(pairs)
+    if weighted:
+        stretch = np.array([max(len(a), len(b)) / min(len(a), len(b)) if a and b else 1.0 for a, b in pairs])
+        value = np.maximum(out["ratio"], 0.95 * np.maximum(out["token_sort"], out["token_set"]))
+        far = np.flatnonzero(stretch >= 1.5)
+        if len(far):
+            scale = np.where(stretch[far] <= 8, 0.9, 0.6)
+            plain = out["partial_ratio"][far] if "partial_ratio" in out else _partials([pairs[i] for i in far])
+            tokens = np.array([float(bool(parts[i][0])) for i in far])
+            tokens = np.maximum(tokens, _partials([parts[i][1:] if not parts[i][0] else ("", "") for i in far]))
+            tokens = np.maximum(tokens, _partials([ordered[i] for i in far]))
+            value[far] = np.maximum.reduce([out["ratio"][far], scale * plain, 0.95 * scale * tokens])
+        out["wratio"] = np.where(some, value, 0.0)
+    if "jaro_winkler" in wanted:
+        out["jaro_winkler"] = np.array([jaro_winkler(a, b) for a, b in pairs])
+    return {k: out[k] for k in kinds}
 
 
 def aligned(a: Column, b: Column, *kinds: str) -> Column:
-    """Struct of the alignment similarities named; all of them in one pass over Arrow batches."""
+    """Struct of the alignment similarities named; all of them in one pass over Arrow batches, equal pairs once."""
 
     @F.pandas_udf(", ".join(f"{k} double" for k in kinds))
     def run(left: pd.Series, right: pd.Series) -> pd.DataFrame:
-        pairs = list(zip(left.fillna(""), right.fillna("")))
-        known: dict[tuple[str, str], tuple[float, ...]] = {}
-        for pair in pairs:
-            if pair not in known:
-                known[pair] = tuple(_ALIGNED[k](*pair) for k in kinds)
-        return pd.DataFrame([known[p] for p in pairs], columns=list(kinds), dtype="float64")
+        place: dict[tuple[str, str], int] = {}
+        at = [place.setdefault(pair, len(place)) for pair in zip(left.fillna(""), right.fillna(""))]
+        found = _aligned(list(place), kinds)
+        return pd.DataFrame({k: found[k][at] if at else np.zeros(0) for k in kinds})
 
     return run(a, b)
 

@@ -2,61 +2,84 @@
 
 The score cut prunes almost nothing, so every pair of a country has to be scored. Pairs never become rows:
 records are dealt to tasks as blocks of queries against blocks of the pool, each task multiplies its two
-sparse blocks and returns the best rows of each query. A large country is many block pairs, so neither a
-country nor a frequent gram is one task's work.
+sparse blocks tile by tile and returns the best rows of each query. A large country is many block pairs, so
+neither a country nor a frequent gram is one task's work; a record is sent once for each block of the other side.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.config import Settings
 
-QUERY_BLOCK = 512
-POOL_BLOCK = 4_096
+QUERY_BLOCK = 4_096
+POOL_BLOCK = 65_536
+TILE = (512, 4_096)
 DIGITS = 9
 _SCHEMA = "s1_id string, cand_id string, source string, field string, score double"
 
 
-def _sorted_postings(rows: list, weights: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    grams = np.concatenate([np.asarray(r, np.int64) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    order = np.argsort(grams, kind="stable")
-    return grams[order], owner[order], np.concatenate([np.asarray(w) for w in weights])[order]
+class _Side:
+    """Records of one side of a block pair, with their postings as flat arrays."""
+
+    def __init__(self, table: pa.Table):
+        grams, weights = (table[c].combine_chunks() for c in ("grams", "weights"))
+        self.n = table.num_rows
+        self.offsets = grams.offsets.to_numpy() - grams.offsets[0].as_py()
+        self.grams, self.weights = grams.flatten().to_numpy(), weights.flatten().to_numpy()
+        self.ids = np.array(table["entity_id"].to_pylist(), object)
+        self.sources = np.array(table["source"].to_pylist(), object)
+
+    def tile(self, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Gram, row and weight of the postings of rows ``begin`` to ``end``, by gram."""
+        a, b = self.offsets[begin], self.offsets[min(end, self.n)]
+        owner = np.repeat(np.arange(min(end, self.n) - begin), np.diff(self.offsets[begin : end + 1]))
+        order = np.argsort(self.grams[a:b], kind="stable")
+        return self.grams[a:b][order], owner[order], self.weights[a:b][order]
+
+
+def _scores(left: tuple, right: tuple, shape: tuple[int, int]) -> np.ndarray:
+    (g, q, v), (h, p, w) = left, right
+    score = np.zeros(shape)
+    shared, a, n = np.unique(g, return_index=True, return_counts=True)
+    begin, end = np.searchsorted(h, shared), np.searchsorted(h, shared, "right")
+    for at, size, b, e in zip(a, n, begin, end):
+        if e > b:
+            score[np.ix_(q[at : at + size], p[b:e])] += v[at : at + size, None] * w[b:e]
+    return score
 
 
 def _block(table: pa.Table, k: int, least: float) -> pa.Table:
-    """Best ``k`` pool rows (and ties) of each query of one block pair, by source."""
-    left = table.filter(pa.compute.equal(table["source"], "S1"))
-    right = table.filter(pa.compute.not_equal(table["source"], "S1"))
-    out = {"s1_id": [], "cand_id": [], "source": [], "field": [], "score": []}
-    if left.num_rows and right.num_rows:
-        (g, q, v), (h, p, w) = (_sorted_postings(t["grams"].to_pylist(), t["weights"].to_pylist()) for t in (left, right))
-        score = np.zeros((left.num_rows, right.num_rows))
-        shared, a, n = np.unique(g, return_index=True, return_counts=True)
-        begin, end = np.searchsorted(h, shared), np.searchsorted(h, shared, "right")
-        for at, size, b, e in zip(a, n, begin, end):
-            if e > b:
-                score[np.ix_(q[at : at + size], p[b:e])] += v[at : at + size, None] * w[b:e]
-        ids, sources = np.array(left["entity_id"].to_pylist(), object), np.array(right["source"].to_pylist(), object)
-        names, field = np.array(right["entity_id"].to_pylist(), object), left["field"][0].as_py()
-        for source in sorted(set(sources)):
-            mine = np.flatnonzero(sources == source)
-            part = score[:, mine]
-            cut = np.full(len(part), least)
-            if len(mine) > k:
-                # A little under the k-th score, so that rows whose rounded scores tie stay.
-                cut = np.maximum(cut, np.partition(part, len(mine) - k, axis=1)[:, len(mine) - k] - 2 * 10.0**-DIGITS)
-            i, j = np.nonzero(part >= cut[:, None])
-            out["s1_id"] += ids[i].tolist()
-            out["cand_id"] += names[mine[j]].tolist()
-            out["source"] += [source] * len(i)
-            out["field"] += [field] * len(i)
-            out["score"] += part[i, j].tolist()
-    return pa.table({c: pa.array(x, pa.float64() if c == "score" else pa.string()) for c, x in out.items()})
+    """Best ``k`` pool rows (and ties) of each query in each tile of one block pair, by source."""
+    is_query = pc.equal(table["source"], "S1")
+    pool = table.filter(pc.invert(is_query))
+    left, right = _Side(table.filter(is_query)), _Side(pool.take(pc.sort_indices(pool["source"])))
+    out = {"s1_id": [], "cand_id": [], "source": [], "score": []}
+    pools = [(p, right.tile(p, p + TILE[1])) for p in range(0, right.n, TILE[1])] if left.n else []
+    for q in range(0, left.n, TILE[0]):
+        queries = left.tile(q, q + TILE[0])
+        for p, rows in pools:
+            sources = right.sources[p : p + TILE[1]]
+            score = _scores(queries, rows, (min(TILE[0], left.n - q), len(sources)))
+            for source in sorted(set(sources)):
+                mine = np.flatnonzero(sources == source)
+                part = score[:, mine]
+                cut = np.full(len(part), least)
+                if len(mine) > k:
+                    # A little under the k-th score, so that rows whose rounded scores tie stay.
+                    cut = np.maximum(cut, np.partition(part, len(mine) - k, axis=1)[:, len(mine) - k] - 2 * 10.0**-DIGITS)
+                i, j = np.nonzero(part >= cut[:, None])
+                out["s1_id"].append(left.ids[q + i])
+                out["cand_id"].append(right.ids[p + mine[j]])
+                out["source"].append(np.full(len(i), source, object))
+                out["score"].append(part[i, j])
+    flat = {c: np.concatenate(x) if x else [] for c, x in out.items()}
+    field = pa.array([table["field"][0].as_py()] * len(flat["score"]), pa.string())
+    return pa.table({"s1_id": pa.array(flat["s1_id"], pa.string()), "cand_id": pa.array(flat["cand_id"], pa.string()), "source": pa.array(flat["source"], pa.string()), "field": field, "score": pa.array(flat["score"], pa.float64())})
 
 
 def scored(vectors: DataFrame, k: int = 10, least: float = 0.05, query_block: int = QUERY_BLOCK, pool_block: int = POOL_BLOCK) -> DataFrame:

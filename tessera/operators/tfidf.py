@@ -35,9 +35,10 @@ def fit(records: DataFrame, tf: DataFrame | None = None, sizes: tuple[int, ...]
 def weights(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Postings ``entity_id, source, country, field, gram, w``: sublinear tf times idf, each record's vector of length 1.
 
-    Normalised texts have 37 symbols, so there are at most 54,871 grams a field and the vocabulary is small.
+    Normalised texts have 37 symbols, so there are at most 54,871 grams a field (and never more than the
+    vocabulary's cap): it is broadcast, and no frequent gram is a key of a shuffle.
     """
-    raw = tf.join(vocabulary.select("field", "gram", "idf"), ["field", "gram"]).withColumn("raw", (1 + F.log("tf")) * F.col("idf"))
+    raw = tf.join(F.broadcast(vocabulary.select("field", "gram", "idf")), ["field", "gram"]).withColumn("raw", (1 + F.log("tf")) * F.col("idf"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("entity_id", "source", "field")))
     return raw.select("entity_id", "source", "country", "field", "gram", (F.col("raw") / length).alias("w"))
 

@@ -28,9 +28,14 @@ def curve(scores: DataFrame, truth: DataFrame, entities: DataFrame, settings: Se
     points = grid(scores.sparkSession, settings)
     known = truth.select("s1_id", "cand_id", F.lit(1).alias("t")).distinct()
     real = entities.select("s1_id").distinct().join(known.groupBy("s1_id").agg(F.count(F.lit(1)).alias("rp")), "s1_id", "left").fillna(0, ["rp"])
-    values = [r["threshold"] for r in points.orderBy("step").collect()]
-    reached = F.size(F.filter(F.lit(values), lambda x: x <= F.col("proba"))) - 1
-    pairs = scores.select("s1_id", "cand_id", reached.alias("step")).where("step >= 0").join(known, ["s1_id", "cand_id"], "left")
+    first = settings.threshold_first
+    step = (first + settings.threshold_step) - first
+    # The place on the grid by division, put right by one where rounding moved it; the score is computed once.
+    value = lambda i: F.lit(first) + i * F.lit(step)
+    placed = scores.select("s1_id", "cand_id", "proba", F.floor((F.col("proba") - first) / step).alias("at"))
+    reached = F.when(value(F.col("at") + 1) <= F.col("proba"), F.col("at") + 1).when(value(F.col("at")) > F.col("proba"), F.col("at") - 1).otherwise(F.col("at"))
+    reached = F.least(reached, F.lit(settings.threshold_points - 1)).cast("int")
+    pairs = placed.select("s1_id", "cand_id", reached.alias("step")).where("step >= 0").join(known, ["s1_id", "cand_id"], "left")
     steps = pairs.groupBy("s1_id", "step").agg(F.count(F.lit(1)).alias("pp"), F.count("t").alias("tp")).join(real, "s1_id")
     down = Window.partitionBy("s1_id").orderBy(F.desc("step"))
     held = steps.select("s1_id", "step", "rp", F.sum("pp").over(down).alias("pp"), F.sum("tp").over(down).alias("tp"), F.lead("step", 1, -1).over(down).alias("below"))

@@ -29,12 +29,12 @@ class Linkage:
         self.spark, self.data, self.work, self.settings = spark, data, work.rstrip("/"), settings
 
     def records(self, split: str) -> DataFrame:
-        """All sources of a split, normalised, with an S1 id column for entity frames."""
-        s1, s2, s3 = (with_normalized(s) for s in files.load_sources(self.spark, self.data, split))
-        return s1.unionByName(s2).unionByName(s3)
+        """All sources of a split, normalised; ``place`` keeps the order of S1's rows for the results."""
+        s1, s2, s3 = (with_normalized(files.load_source(self.spark, self.data, n, split, place=n == 1)) for n in (1, 2, 3))
+        return s1.unionByName(s2.unionByName(s3), allowMissingColumns=True)
 
     def entities(self, records: DataFrame) -> DataFrame:
-        return records.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"))
+        return records.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"), "place")
 
     def vocabulary(self, records: DataFrame, split: str) -> DataFrame:
         """Fitted on the training split, when asked to, or where none is saved; else the saved one."""
@@ -55,7 +55,7 @@ class Linkage:
             vectors = tfidf.vectors(tfidf.weights(tfidf.grams(records, self.settings.gram_sizes), vocabulary))
             found = blocking.retrieve(vectors, self.settings)
             # Entities without a candidate keep a row, which coverage looks for.
-            return self.entities(records).join(found, "s1_id", "left")
+            return self.entities(records).drop("place").join(found, "s1_id", "left")
 
         path = f"{self.work}/candidates-{self.settings.key(split)}"
         held = files.stage(self.spark, path, make, self.settings.regenerate, self.entities(records))
@@ -108,11 +108,17 @@ class Linkage:
     def score(self, pairs: DataFrame, records: DataFrame) -> DataFrame:
         return model.score(model.load(self.model_path), self._features(pairs, records))
 
+    def scored(self, split: str = "test") -> DataFrame:
+        """Every candidate pair of a split with its probability: ``s1_id, cand_id, proba``."""
+        records = self.records(split)
+        return self.score(self.candidates(records, split), records)
+
     def predict(self, split: str = "test") -> tuple[DataFrame, DataFrame]:
-        """Write both result files; returns matching results and violations (there should be none)."""
+        """Write both result files, in S1's order; returns matching results and violations (there should be none)."""
         records = self.records(split)
         pairs, s1 = self.candidates(records, split), self.entities(records)
-        said = threshold.decided(self.score(pairs, records), files.load_threshold(self.spark, self.threshold_path, self.settings.default_threshold))
+        scores = self.score(pairs, records).persist()  # scored once for the file, its summary and the check
+        said = threshold.decided(scores, files.load_threshold(self.spark, self.threshold_path, self.settings.default_threshold))
         valid = records.where("source <> 'S1'")
         results = output.matching_results(said, s1, valid)
         files.save_table(results, f"{self.work}/matching_results.tsv")
@@ -130,7 +136,14 @@ class Linkage:
         counts = evaluation.entity_counts(mine, truth.join(mine, "s1_id", "left_semi"), said)
         return evaluation.report(counts)
 
+    def tune_saved(self) -> float:
+        """Tune the threshold of the saved model once more, on the validation entities of the training split."""
+        records = self.records("train")
+        truth = files.to_pairs(files.load_truth(self.spark, self.data), "matched_entity_ids")
+        return self.tune(records, self.candidates(records, "train"), truth, labels.split(self.entities(records), self.settings))
+
     def run(self, mode: str, split: str = "test") -> None:
+        mode = mode.lower()
         if mode not in MODES:
             raise ValueError(f"mode must be one of {', '.join(MODES)}")
         if mode in ("train", "full"):
@@ -144,20 +157,25 @@ class Linkage:
 def main(arguments: list[str] | None = None) -> int:
     """Command line; a failure gives exit code 1."""
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--mode", choices=MODES, default="full")
+    parser.add_argument("--mode", type=str.lower, choices=MODES, default="full")
     parser.add_argument("--split", choices=("train", "test"), default="test")
     parser.add_argument("--data", default="data")
     parser.add_argument("--work", default="output")
     parser.add_argument("--force-retrain", action="store_true")
     parser.add_argument("--refit", action="store_true")
     parser.add_argument("--regenerate", action="store_true")
+    parser.add_argument("--tune-threshold", action="store_true", help="only tune the threshold of the saved model")
     parser.add_argument("--log-level", default="INFO")
     given = parser.parse_args(arguments)
     logging.basicConfig(level=given.log_level.upper())
     spark = SparkSession.builder.appName("tessera").getOrCreate()
     try:
         settings = Settings(retrain=given.force_retrain, refit=given.refit, regenerate=given.regenerate)
-        Linkage(spark, given.data, given.work, settings).run(given.mode, given.split)
+        linkage = Linkage(spark, given.data, given.work, settings)
+        if given.tune_threshold:
+            log.info("threshold %.4f", linkage.tune_saved())
+        else:
+            linkage.run(given.mode, given.split)
     except Exception:
         log.exception("the run failed")
         return 1

@@ -1,14 +1,17 @@
 """Driver adapter: the linkage operators as queries over the driver's tables, and the same in SQL for DuckDB.
 
-``documents`` stand in for the three sources: doc_id modulo 3 gives the source, the first 60 characters the
-name, the next 100 the address and the language the country (missing for every 17th document). A pair is
-true if both records have the same language and name. SQL keeps to texts that accent stripping folds like
-compatibility decomposition does, as those of the driver's tables.
+Two sets of records, both of whole tables and whole fields. ``texts`` are the documents, each whole text as name
+and as address, for what works on one text. ``records`` are directories to link: S1 lists all customers,
+suppliers and parts; S2 lists the suppliers and S3 the customers again, under other spellings. A pair is true if
+both records stand for the same customer or supplier, so parts have no match. Records with a negative balance, and
+parts, have no country. Pair queries take the pairs that retrieval finds, under the default settings. SQL keeps to
+texts that accent stripping folds like compatibility decomposition does, as those of the driver's tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,7 @@ from tessera.operators import blocking, evaluation, features, labels, model, out
 from tessera.sources.delimited import to_lists, to_pairs
 
 SETTINGS = Settings()
+SUMMARISED = ("benchmark", "conversations", "customer", "documents", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,27 +33,63 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Inputs
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where("doc_id is not null")
     source = F.concat(F.lit("S"), F.col("doc_id") % 3 + 1)
-    return docs.select(
-        F.concat_ws("-", source, "doc_id").alias("entity_id"),
-        source.alias("source"),
-        F.coalesce(F.substring("text", 1, 60), F.lit("")).alias("business_name"),
-        F.coalesce(F.substring("text", 61, 100), F.lit("")).alias("business_address"),
-        F.when(F.col("doc_id") % 17 == 0, "").otherwise(F.coalesce("lang", F.lit(""))).alias("country"),
-        "doc_id",
+    whole = F.coalesce("text", F.lit(""))
+    return docs.select(F.concat_ws("-", source, "doc_id").alias("entity_id"), source.alias("source"), whole.alias("business_name"), whole.alias("business_address"), F.coalesce("lang", F.lit("")).alias("country"))
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    customers = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    suppliers = table(spark, sf_dir, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
+
+    def listed(rows: DataFrame, source: str, key: Column, who: Column, name: Column, address: Column, country: Column) -> DataFrame:
+        return rows.select(F.concat(F.lit(f"{source}-"), key).alias("entity_id"), F.lit(source).alias("source"), name.alias("business_name"), address.alias("business_address"), country.alias("country"), who.alias("who"))
+
+    def owed(balance: str, country: Column) -> Column:
+        return F.when(F.col(balance) < 0, "").otherwise(country)
+
+    c, s, p = F.col("c_custkey").cast("bigint"), F.col("s_suppkey").cast("bigint"), F.col("p_partkey").cast("bigint")
+    is_c, is_s, is_p = (F.concat(F.lit(letter), key) for letter, key in (("c", c), ("s", s), ("p", p)))
+    parts = (
+        listed(customers, "S1", c * 10 + 1, is_c, F.col("c_name"), F.concat_ws(" ", "n_name", "r_name", "c_mktsegment"), owed("c_acctbal", F.col("n_name"))),
+        listed(suppliers, "S1", s * 10 + 2, is_s, F.col("s_name"), F.concat_ws(" ", "n_name", "r_name"), owed("s_acctbal", F.col("n_name"))),
+        listed(table(spark, sf_dir, "part"), "S1", p * 10 + 3, is_p, F.col("p_name"), F.concat_ws(" ", "p_brand", "p_type", F.lit("no."), "p_size"), F.lit("")),
+        listed(suppliers, "S2", s, is_s, F.concat_ws(" ", F.lit("Supp."), s, F.lit("Intl")), F.concat(F.lit("No. "), s, F.lit(", "), "n_name", F.lit(" Rd")), owed("s_acctbal", F.lower("n_name"))),
+        listed(customers, "S3", c, is_c, F.concat_ws(" ", F.replace("c_name", F.lit("#"), F.lit(" ")), F.lit("Co")), F.concat_ws(" ", "c_mktsegment", "n_name", F.lit("Sq")), owed("c_acctbal", F.lower("n_name"))),
     )
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: Stages that many queries share, by application and folder; each is computed once and kept by Spark.
+_kept: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def kept(name: str, spark: SparkSession, sf_dir: str, make: Callable[[], DataFrame]) -> DataFrame:
+    key = name, spark.sparkContext.applicationId, sf_dir
+    if key not in _kept:
+        _kept[key] = make().persist()
+    return _kept[key]
+
+
+def release() -> None:
+    """Forget the kept stages, for instance before a query is timed."""
+    for df in _kept.values():
+        df.unpersist()
+    _kept.clear()
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.with_normalized(records(spark, sf_dir))
+    return kept("normalized", spark, sf_dir, lambda: text.with_normalized(records(spark, sf_dir)))
 
 
 def truth(rows: DataFrame) -> DataFrame:
-    left = rows.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"), "country", "business_name")
-    right = rows.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"), "country", "business_name")
-    return left.join(right, ["country", "business_name"]).select("s1_id", "cand_id")
+    left = rows.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"), "who")
+    right = rows.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"), "who")
+    return left.join(right, "who").select("s1_id", "cand_id")
 
 
 def entities(rows: DataFrame) -> DataFrame:
@@ -61,54 +101,55 @@ def name_vectors(rows: DataFrame, fields: dict[str, str]) -> DataFrame:
     return tfidf.vectors(tfidf.weights(tf, tfidf.fit(rows, tf)))
 
 
-def known_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs to measure: true ones, and S1 records with the S2 and S3 records that follow them."""
-    keyed = rows.select("entity_id", "source", "doc_id")
-    left = keyed.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"), "doc_id")
-    right = keyed.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"), F.col("doc_id").alias("other"))
-    near = left.withColumn("other", F.explode(F.array(F.col("doc_id") + 1, F.col("doc_id") + 2, F.col("doc_id") + 4))).join(right, "other")
-    return near.select("s1_id", "cand_id").unionByName(truth(rows)).distinct()
+def retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept("retrieved", spark, sf_dir, lambda: blocking.retrieve(name_vectors(normalized(spark, sf_dir), tfidf.FIELDS), SETTINGS))
+
 
+def known_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What retrieval finds."""
+    return retrieved(spark, sf_dir).select("s1_id", "cand_id")
 
-def measured(rows: DataFrame) -> DataFrame:
+
+def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known pairs with both records' fields as a_ and b_ columns."""
+    rows = normalized(spark, sf_dir)
     a, b = features.lookup(rows, "a", "s1_id"), features.lookup(rows, "b", "cand_id")
-    return known_pairs(rows).join(a, "s1_id").join(b, "cand_id")
+    return known_pairs(spark, sf_dir).join(a, "s1_id").join(b, "cand_id")
 
 
 def pair_query(name: str, value: Callable[[Column, Column], Column], field: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return measured(normalized(spark, sf_dir)).select("s1_id", "cand_id", F.round(value(F.col(f"a_{field}"), F.col(f"b_{field}")), 6).alias(name))
+        return measured(spark, sf_dir).select("s1_id", "cand_id", F.round(value(F.col(f"a_{field}"), F.col(f"b_{field}")), 6).alias(name))
 
     return query
 
 
-def stand_in_scores(rows: DataFrame) -> DataFrame:
+def stand_in_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token Jaccard of the names as a probability, a little off the grid."""
-    return measured(rows).select("s1_id", "cand_id", F.round(similarity.token_jaccard(F.col("a_norm_name"), F.col("b_norm_name")) * 0.9 + 0.0533, 6).alias("proba"))
+    return measured(spark, sf_dir).select("s1_id", "cand_id", F.round(similarity.token_jaccard(F.col("a_norm_name"), F.col("b_norm_name")) * 0.9 + 0.0533, 6).alias("proba"))
 
 
-def decided(rows: DataFrame) -> DataFrame:
-    return threshold.decided(stand_in_scores(rows), 0.5)
+def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold.decided(stand_in_scores(spark, sf_dir), 0.5)
 
 
 # Queries
 
 
 def normalize_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).select("entity_id", "norm_name")
+    return text.with_normalized(texts(spark, sf_dir)).select("entity_id", "norm_name")
 
 
 def normalize_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).select("entity_id", "norm_address")
+    return text.with_normalized(texts(spark, sf_dir)).select("entity_id", "norm_address")
 
 
 def name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).select("entity_id", F.array_join(text.long_tokens(F.col("norm_name")), "|").alias("tokens"))
+    return text.with_normalized(texts(spark, sf_dir)).select("entity_id", F.array_join(text.long_tokens(F.col("norm_name")), "|").alias("tokens"))
 
 
 def address_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).select("entity_id", F.array_join(text.long_tokens(F.col("norm_address")), "|").alias("tokens"))
+    return text.with_normalized(texts(spark, sf_dir)).select("entity_id", F.array_join(text.long_tokens(F.col("norm_address")), "|").alias("tokens"))
 
 
 def number_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,15 +158,15 @@ def number_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def combined_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).select("entity_id", text.combined_text(F.col("norm_name"), F.col("norm_address")).alias("both"))
+    return text.with_normalized(texts(spark, sf_dir)).select("entity_id", text.combined_text(F.col("norm_name"), F.col("norm_address")).alias("both"))
 
 
 def country_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(spark, sf_dir).groupBy(text.country_key(F.col("country")).alias("country"), "source").agg(F.count(F.lit(1)).alias("n"))
+    return texts(spark, sf_dir).groupBy(text.country_key(F.col("country")).alias("country"), "source").agg(F.count(F.lit(1)).alias("n"))
 
 
 def char_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = normalized(spark, sf_dir).select("entity_id", F.explode(char_ngrams(F.col("norm_name"))).alias("gram"))
+    rows = text.with_normalized(texts(spark, sf_dir)).select("entity_id", F.explode(char_ngrams(F.col("norm_name"))).alias("gram"))
     return rows.groupBy("entity_id", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -154,16 +195,12 @@ def _top(fields: dict[str, str]) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
-def retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.retrieve(name_vectors(normalized(spark, sf_dir), tfidf.FIELDS))
-
-
 def fused_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieved(spark, sf_dir).select("s1_id", "cand_id", "source", "rank", F.round("score", 6).alias("score"))
 
 
 def capped_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.capped(retrieved(spark, sf_dir), 5).select("s1_id", "cand_id", F.round("score", 6).alias("score"))
+    return blocking.capped(retrieved(spark, sf_dir), SETTINGS.most_candidates).select("s1_id", "cand_id", F.round("score", 6).alias("score"))
 
 
 def candidate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +217,7 @@ def lists_to_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blocking_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalized(spark, sf_dir)
-    return blocking.blocking_stats(blocking.retrieve(name_vectors(rows, tfidf.FIELDS)), truth(rows), entities(rows), rows).withColumn("reduction_ratio", F.round("reduction_ratio", 6))
+    return blocking.blocking_stats(retrieved(spark, sf_dir), truth(rows), entities(rows), rows).withColumn("reduction_ratio", F.round("reduction_ratio", 6))
 
 
 def _aligned(name: str, kind: str, field: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -188,11 +225,11 @@ def _aligned(name: str, kind: str, field: str) -> Callable[[SparkSession, str],
 
 
 def sorted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).select("entity_id", similarity.sorted_tokens(F.col("norm_name")).alias("sorted_name"))
+    return text.with_normalized(texts(spark, sf_dir)).select("entity_id", similarity.sorted_tokens(F.col("norm_name")).alias("sorted_name"))
 
 
 def country_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = measured(normalized(spark, sf_dir))
+    rows = measured(spark, sf_dir)
     return rows.select("s1_id", "cand_id", similarity.country_match(F.col("a_country"), F.concat(F.lit(" "), F.upper("b_country"))).alias("country_match"))
 
 
@@ -204,28 +241,28 @@ def vector_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalized(spark, sf_dir)
-    return features.feature_table(known_pairs(rows), rows.where("source = 'S1'"), rows.where("source <> 'S1'"))
+    return features.feature_table(known_pairs(spark, sf_dir), rows.where("source = 'S1'"), rows.where("source <> 'S1'"))
 
 
 def missing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir)
-    few = rows.where("doc_id % 5 <> 0")
-    return features.missing_counts(known_pairs(rows), few.where("source = 'S1'"), few.where("source <> 'S1'"))
+    """Candidates of both sources looked up in S2 alone."""
+    rows = normalized(spark, sf_dir)
+    return features.missing_counts(known_pairs(spark, sf_dir), rows.where("source = 'S1'"), rows.where("source = 'S2'"))
 
 
 def pair_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir)
-    return labels.labelled(known_pairs(rows), truth(rows))
+    rows = normalized(spark, sf_dir)
+    return labels.labelled(known_pairs(spark, sf_dir), truth(rows))
 
 
 def positives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir)
-    return labels.positives(known_pairs(rows), truth(rows))
+    rows = normalized(spark, sf_dir)
+    return labels.positives(known_pairs(spark, sf_dir), truth(rows))
 
 
 def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir)
-    return labels.negatives(known_pairs(rows), truth(rows))
+    rows = normalized(spark, sf_dir)
+    return labels.negatives(known_pairs(spark, sf_dir), truth(rows))
 
 
 def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +275,7 @@ def _place(column: str) -> Column:
 
 
 def sampled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.sampled(pair_labels(spark, sf_dir), Settings(negatives_per_positive=1), _place("cand_id"))
+    return labels.sampled(pair_labels(spark, sf_dir), SETTINGS, _place("cand_id"))
 
 
 def entity_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +284,7 @@ def entity_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalized(spark, sf_dir)
-    return evaluation.entity_counts(entities(rows), truth(rows), decided(rows))
+    return evaluation.entity_counts(entities(rows), truth(rows), decided(spark, sf_dir))
 
 
 def entity_f05(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,44 +310,45 @@ def tuning_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def threshold_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalized(spark, sf_dir)
-    found = threshold.curve(stand_in_scores(rows), truth(rows), entities(rows))
+    found = threshold.curve(stand_in_scores(spark, sf_dir), truth(rows), entities(rows))
     return found.select(*(F.round(c, 6).alias(c) for c in ("threshold", "precision", "recall", "f05", "f1")))
 
 
 def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalized(spark, sf_dir)
-    found = threshold.best(threshold.curve(stand_in_scores(rows), truth(rows), entities(rows)))
+    found = threshold.best(threshold.curve(stand_in_scores(spark, sf_dir), truth(rows), entities(rows)))
     return found.select(*(F.round(c, 6).alias(c) for c in ("threshold", "f05")))
 
 
 def linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = measured(normalized(spark, sf_dir))
+    rows = measured(spark, sf_dir)
     a, b = F.col("a_norm_name"), F.col("b_norm_name")
     found = rows.select("s1_id", "cand_id", similarity.token_jaccard(a, b).alias("j"), similarity.levenshtein_similarity(a, b).alias("l"))
     return model.linear_score(found, {"j": 3.0, "l": 4.0}, -4.0).withColumn("proba", F.round("proba", 6))
 
 
 def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small boosted model on all known pairs: train, stop, score."""
+    """The boosted model under the default settings, from sampled pairs of all candidates; scores of all candidates."""
     rows = normalized(spark, sf_dir)
-    pairs = labels.labelled(known_pairs(rows), truth(rows)).join(labels.split(entities(rows)), "s1_id")
-    table_ = features.feature_table(pairs, rows.where("source = 'S1'"), rows.where("source <> 'S1'")).join(pairs, ["s1_id", "cand_id"]).cache()
-    return model.score(model.train(table_, Settings(least_rows=2, depth=3), trees=5), table_)
+    pairs = pair_labels(spark, sf_dir).cache()
+    found = features.feature_table(pairs, rows.where("source = 'S1'"), rows.where("source <> 'S1'")).cache()
+    fitting = labels.sampled(pairs, SETTINGS).join(labels.split(entities(rows), SETTINGS), "s1_id")
+    return model.score(model.train(found.join(fitting, ["s1_id", "cand_id"]), SETTINGS), found)
 
 
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir)
+    rows = texts(spark, sf_dir)
     return rows.where("source = 'S2'").select("entity_id", "country").unionByName(rows.where("source = 'S3'").select("entity_id", "country"))
 
 
 def matching_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalized(spark, sf_dir)
-    return output.matching_results(decided(rows), entities(rows), rows.where("source <> 'S1'"))
+    return output.matching_results(decided(spark, sf_dir), entities(rows), rows.where("source <> 'S1'"))
 
 
 def candidate_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir)
-    return output.candidate_pairs(known_pairs(rows), entities(rows), rows.where("source = 'S2'"))
+    rows = normalized(spark, sf_dir)
+    return output.candidate_pairs(known_pairs(spark, sf_dir), entities(rows), rows.where("source = 'S2'"))
 
 
 def match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,35 +356,37 @@ def match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consistency_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True pairs that the address alone does not find."""
     rows = normalized(spark, sf_dir)
-    return output.violations(truth(rows), decided(rows).where(_place("cand_id") % 3 > 0))
+    by_address = blocking.top_by_field(blocking.scored(name_vectors(rows, {"address": "norm_address"})))
+    return output.violations(truth(rows), by_address)
 
 
 def coverage_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir)
-    return output.uncovered(entities(rows), truth(rows))
+    rows = normalized(spark, sf_dir)
+    return output.uncovered(entities(rows), known_pairs(spark, sf_dir))
 
 
 def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.columns(table(spark, sf_dir, "documents").drop("text")).drop("type")
+    return profile.columns(table(spark, sf_dir, "documents"))
 
 
 def profile_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, marks = table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels")
+    docs, marks = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return profile.null_shares(docs.join(marks, "doc_id", "left"))
 
 
 def profile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.duplicates(table(spark, sf_dir, "documents").select("text", "lang"))
+    return profile.duplicates(table(spark, sf_dir, "lineitem"))
 
 
 def profile_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = profile.describe(table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_linenumber"))
+    found = profile.describe(table(spark, sf_dir, "lineitem"))
     return found.select("column", "n", *(F.round(c, 4).alias(c) for c in ("mean", "std", "low", "q25", "q50", "q75", "high")))
 
 
 def profile_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = profile.lengths(records(spark, sf_dir), ["business_name", "business_address", "country"])
+    found = profile.lengths(texts(spark, sf_dir), ["business_name", "business_address", "country"])
     return found.select("column", F.round("mean", 6).alias("mean"), "median", "low", "high")
 
 
@@ -355,7 +395,7 @@ def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def value_counts_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.value_counts(records(spark, sf_dir).withColumn("country", F.nullif("country", F.lit(""))), "country")
+    return profile.value_counts(texts(spark, sf_dir).withColumn("country", F.nullif("country", F.lit(""))), "country")
 
 
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,7 +407,7 @@ def id_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.summary({n: table(spark, sf_dir, n) for n in ("customer", "labels", "nation", "region")})
+    return profile.summary({n: table(spark, sf_dir, n) for n in SUMMARISED})
 
 
 _NAME, _ADDRESS = "norm_name", "norm_address"

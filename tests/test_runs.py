@@ -94,12 +94,15 @@ def test_full_run(spark, folder, tmp_path):
     stats = run.train().first()
     assert stats["recall_ceiling"] > 0.9 and 0 < stats["reduction_ratio"] < 1
     results, broken = run.predict("test")
-    assert results.count() == 60 and broken.count() == 0
+    assert [r[0] for r in results.collect()] == [f"S1-{i}" for i in range(60)] and broken.count() == 0
+    written = spark.read.csv(f"{tmp_path}/matching_results.tsv", sep="\t", header=True).select("source1_entity_id").collect()
+    assert [r[0] for r in written] == [f"S1-{i}" for i in range(60)]
+    assert run.scored("test").where("proba between 0 and 1").count() >= 60 and 0 < run.tune_saved() < 1
     assert run.evaluate().first()["macro_f05"] > 0.6
     assert len([f for f in os.listdir(tmp_path) if f.startswith("candidates-")]) == 2
     before = run.candidates(run.records("test"), "test")
     assert {r["s1_id"].split("-")[0] for r in before.collect()} == {"S1"}
-    run.run("eval")
+    run.run("EVAL")
     with pytest.raises(ValueError):
         run.run("other")
     assert main(["--mode", "eval", "--data", str(tmp_path / "nowhere"), "--work", str(tmp_path / "w"), "--log-level", "critical"]) == 1
@@ -150,3 +153,9 @@ def test_contract(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_index_has_no_gaps(spark, tmp_path):
+    files.save_table(spark.range(50).repartition(7).select("id"), str(tmp_path / "t.tsv"), index=True)
+    found = spark.read.csv(str(tmp_path / "t.tsv"), sep="\t", header=True).collect()
+    assert sorted(int(r["index"]) for r in found) == list(range(50))

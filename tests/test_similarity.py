@@ -87,3 +87,14 @@ def test_all_twenty_in_order(spark):
         assert r["country_match"] == 1
     off = s.all_similarities(*(F.col(c) for c in ("na", "nb", "aa", "ab", "ca", "cb")), use_country=False)
     assert df.select(off["country_match"]).first()[0] == 0
+
+
+def test_batched_alignments_equal_those_of_single_pairs():
+    rng = random.Random(8)
+    sizes = [0, 1, 3, 12, 40, 63, 64, 65, 80]
+    texts = [" ".join("".join(rng.choices("abcde fg", k=rng.choice(sizes))).split()) for _ in range(400)]
+    pairs = [*zip(texts[::2], texts[1::2]), *((t, t[: len(t) // 3]) for t in texts[:60])]
+    single = {"ratio": s.ratio, "partial_ratio": s.partial_ratio, "token_sort": s.token_sort, "token_set": s.token_set_ratio, "wratio": s.weighted_ratio, "jaro_winkler": s.jaro_winkler}
+    found = s._aligned(pairs, tuple(single))
+    for kind, value in single.items():
+        assert found[kind].tolist() == pytest.approx([value(a, b) for a, b in pairs], abs=1e-12)
