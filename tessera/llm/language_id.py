@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,8 @@ ORDER = 5
 SAMPLE_TEXTS = 300
 SAMPLE_CHARACTERS = 4_000_000
 UNKNOWN = "und"
-CACHED = 250_000
+CACHED = 150_000
+MOST_WORDS = 50_000
 LETTERS = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id bigint, lang_pred string, score double, cross_entropy double, rejected boolean"
 
@@ -262,8 +263,6 @@ class WordScores:
         self.rows = np.zeros((1024, len(self.models.languages) + 2), np.float32)
 
     def learn(self, words: set[str]) -> None:
-        if len(self.index) + len(words) > CACHED:
-            self.clear()
         new = sorted(w for w in words if w not in self.index)
         if not new:
             return
@@ -285,18 +284,36 @@ def _judged(models: LanguageModels, texts: list[str | None]) -> tuple[np.ndarray
     """Language, score, cross-entropy (nan for none) and rejection of each text."""
     cache, n = _scores(models), len(texts)
     totals, counts = np.zeros((n, len(models.languages) + 2)), np.zeros(n, np.int64)
-    for i, text in enumerate(texts):
+    parts: list[tuple[int, list[str]]] = []
+    held_words = 0
+
+    def add() -> None:
+        """Sum what is known of the words of ``parts``, after learning all new ones at once."""
+        different = [set(part) for _, part in parts]
+        missing = set().union(*different).difference(cache.index)
+        if len(cache.index) + len(missing) > CACHED:
+            cache.clear()
+            missing = set().union(*different)
+        if missing:
+            cache.learn(missing)
+        sizes = np.fromiter((len(part) for _, part in parts), np.int64, len(parts))
+        at = np.fromiter(map(cache.index.__getitem__, chain.from_iterable(part for _, part in parts)), np.int64, sizes.sum())
+        sums = np.add.reduceat(cache.rows[at], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0, dtype=np.float64)
+        for (i, _), total, words in zip(parts, sums, different):
+            totals[i] += total
+            counts[i] = max(counts[i], len(words))  # repeats tell nothing more
+        parts.clear()
+
+    for i, text in enumerate(texts if models.languages else []):
         words = words_of(text) if text else []
-        if not words or not models.languages:
-            continue
-        for begin in range(0, len(words), 100_000):
-            part = words[begin : begin + 100_000]
-            different = set(part)
-            counts[i] = max(counts[i], len(different))  # repeats tell nothing more
-            if missing := different.difference(cache.index):
-                cache.learn(different if len(cache.index) + len(missing) > CACHED else missing)
-            at = np.fromiter(map(cache.index.__getitem__, part), np.int64, len(part))
-            totals[i] += cache.rows[at].sum(axis=0, dtype=np.float64)
+        for begin in range(0, len(words), MOST_WORDS):
+            parts.append((i, words[begin : begin + MOST_WORDS]))
+            held_words += len(parts[-1][1])
+            if held_words >= MOST_WORDS:
+                add()
+                held_words = 0
+    if parts:
+        add()
     size = totals[:, -1]
     some = size > 0
     language, score = np.full(n, UNKNOWN, object), np.zeros(n)
