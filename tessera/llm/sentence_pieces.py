@@ -54,9 +54,9 @@ class Lattice:
         self.pairs: dict[int, bool] = {}
         #: Ids (as bytes of 32-bit numbers) and weight of the best path over a stretch without a cut inside; ids
         #: of a word with its space mark, and of one without (which is the shorter key).
-        self.atoms = Remembered(self._atom, 80_000)
-        self.words = Remembered(self._word, 50_000)
-        self.plain = Remembered(lambda word: self._word(SPACE + word), 120_000)
+        self.atoms = Remembered(self._atom, 60_000)
+        self.words = Remembered(self._word, 30_000)
+        self.plain = Remembered(lambda word: self._word(SPACE + word), 80_000)
         #: Pieces that merges reach at all; some BPE vocabularies hold others.
         self.good = {piece for piece in self.ids if not self.bpe or self._merged(piece) == [piece]}
 
