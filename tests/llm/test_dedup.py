@@ -4,8 +4,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
 
-from tessera.llm import jaccard_join, substring_dedup
+from tessera.llm import jaccard_join, packed, substring_dedup
 from tessera.llm.components import components
 from tests.llm.helpers import AWKWARD, frame, prose, words
 
@@ -149,3 +152,64 @@ def test_join_takes_width_and_least(spark):
     expected = sorted((doc, len(a), len(near)) for (a, docs), near in zip(sets.items(), linked) for doc in docs if doc is not None)
     found = jaccard_join.join(frame(spark, rows), 80, 5).where("doc_id is not null and n_shingles > 0").collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["n_links"]) for r in found) == expected
+
+
+def by_bucket(tables):
+    whole = pa.concat_tables(tables, promote_options="default")
+    return [whole.filter(pc.equal(whole["bucket"], b)) for b in set(whole["bucket"].to_pylist())]
+
+
+@pytest.mark.parametrize("heavy", [256, 2])
+def test_packed_rounds_lose_no_link(monkeypatch, heavy):
+    monkeypatch.setattr(jaccard_join, "HEAVY", heavy)
+    sets = {}
+    for _, text in near_copies(seed=21, groups=6, copies=60):
+        values = jaccard_join.shingles(text.encode())
+        sets[jaccard_join.node_of(values)[0]] = values
+    nodes, buckets = sorted(sets), 5
+    linked = [(a, b) for i, a in enumerate(nodes) for b in nodes[:i] if 100 * (c := len(np.intersect1d(sets[a], sets[b]))) >= 85 * (len(sets[a]) + len(sets[b]) - c)]
+    assert len(linked) > 100
+    sent = {}
+    for extra in jaccard_join.EXTRA:
+        tables = []
+        for part in range(3):  # three tasks; some sets are in two of them
+            regions = jaccard_join.Regions(buckets)
+            for i, node in enumerate(nodes):
+                if i % 3 == part or i % 7 == part:
+                    regions.add(node, jaccard_join.shown(sets[node], 85, extra))
+            names = jaccard_join._names(jaccard_join._REGION)
+            kinds = [pa.int64(), *[pa.binary()] * 4]
+            tables.append(pa.table({n: pa.array(c, k) for n, c, k in zip(names, regions.rows(), kinds)}))
+        sent[extra] = by_bucket(tables)
+    first, second = jaccard_join.EXTRA
+    met = {}
+    for table in map(jaccard_join._counted, sent[first]):
+        for node, times in zip(table["node"].to_pylist(), table["met"].to_pylist()):
+            met[node] = met.get(node, 0) + times
+    assert all(met.get(n, 0) >= jaccard_join._needed(len(sets[n]), 85, first) for pair in linked for n in pair)
+    own = np.array(nodes)
+    order = np.argsort(own.view(np.uint64))
+    columns = packed.dealt(buckets, (own.view(np.uint64)[order], np.array([len(sets[n]) for n in nodes], np.uint64)[order]))
+    sizes = pa.table({"bucket": pa.array(columns[0], pa.int64()), "names": pa.array(columns[1], pa.binary()), "sizes": pa.array(columns[2], pa.binary())})
+    edges = [jaccard_join._edges(t, 85) for t in by_bucket([*(jaccard_join._pointed(t, buckets) for t in sent[second]), sizes])]
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for table in edges:
+        for a, b in zip(table["a"].to_pylist(), table["b"].to_pylist()):
+            parent[root(a)] = root(b)
+    assert all(root(a) == root(b) for a, b in linked)
+    assert len({root(n) for n in nodes}) > 1
+
+
+def test_representatives_are_the_same_at_every_run_and_keep_values(spark):
+    rows = [(1, prose(3, 40), "en", "b"), (1, prose(3, 40), "en", "a"), (2, prose(3, 40), "en", "c"), (None, None, "en", "d"), (4, "", "en", "e")]
+    docs = frame(spark, rows, extra=True)
+    found = [sorted(map(str, jaccard_join.representatives(docs.repartition(n)).collect())) for n in (1, 4)]
+    assert found[0] == found[1] and len(found[0]) == 3
+    assert all("component_id='x'" in r and "all='x'" in r and "key_id='x'" in r for r in found[0])
+    assert jaccard_join.representatives(frame(spark, [])).count() == 0

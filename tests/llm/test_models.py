@@ -133,3 +133,17 @@ def test_texts_of_a_language_left_out_are_rejected():
     assert not any(rejected([say(k, 60) for k in ("aa", "bb") for _ in range(50)]))
     assert not any(rejected([f"{say('aa', 40)} {say('bb', 30)}" for _ in range(50)]))
     assert not any(rejected(["ka lo", "Tunmi " * 400]))
+
+
+def test_languages_and_labels_of_long_texts_alone_are_learned(spark):
+    rng = random.Random(12)
+    a, b = sorted(SYLLABLES)[:2]
+    rows = [(i, spoken(rng, a, 60), a) for i in range(30)] + [(100 + i, spoken(rng, b, 9_000), b) for i in range(8)] + [(200, spoken(rng, b, 40), None)]
+    docs = frame(spark, rows)
+    assert min(len(t) for _, t, lang in rows if lang == b) > 30_000
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, language_id.fit(language_id.training_texts(docs, F.lit(True)))).collect()}
+    assert found[200] == b and found[3] == a
+    assert len(language_id.training_texts(docs, F.lit(True), most=1)[b]) == 1
+    labels = spark.createDataFrame([(r[0], int(r[0] >= 100)) for r in rows[:-1]], "doc_id bigint, quality int")
+    taught = quality.training_rows(docs, labels, F.lit(True))
+    assert len(taught) == 38 and sum(label for _, label in taught) == 8

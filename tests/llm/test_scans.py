@@ -147,3 +147,18 @@ def test_decontamination_equals_brute_force(spark):
     assert clean[1].split() == words(1, 40) + words(2, 10)
     assert decontamination.hits(docs, items.where("item_id < 0")).where("n_hit > 0").count() == 0
     assert decontamination.hits(frame(spark, []), items).count() == 0
+
+
+def test_masking_keeps_values_of_clashing_columns(spark):
+    names = ("own_id", "own_row", "own_all", "masked_id", "masked_row", "masked_spans", "spans", "hash")
+    docs = frame(spark, [(1, "token = Zk81kkPq0aLm55"), (2, "nothing"), (None, None), (4, "")]).withColumns({c: F.lit("keep") for c in names})
+    found = secrets.masked(docs).collect()
+    assert secrets.masked(docs).columns == docs.columns and all(r[c] == "keep" for r in found for c in names)
+    assert {(r["doc_id"], r["text"]) for r in found} == {(1, "<secret>"), (2, "nothing"), (None, None), (4, "")}
+    assert secrets.masked(frame(spark, [])).count() == 0
+
+
+def test_spans_of_a_long_text(spark):
+    text = "ordinary words " * 40_000 + "token: abcdefgh1"
+    found = secrets.digests(frame(spark, [(1, text)])).first()
+    assert found["n_assign"] == 1 and found["spans"] == f"assign:{len(text) - 16}:{len(text)}"
