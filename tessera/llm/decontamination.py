@@ -218,7 +218,9 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.
     """``docs`` without the hit words; documents hit over more than ``most_share`` of their words go.
 
     A span goes from the first byte of its first word to the last of its last; what remains is left as it
-    was. Documents without a hit stay unchanged, null texts too. All columns are kept.
+    was. Documents without a hit stay unchanged, null and empty texts and null ids too; repeated rows go or
+    stay alike. Texts of any length are taken whole. All columns are kept, whatever their names; empty tables
+    of documents or items change nothing.
     """
     blocks = _blocks(benchmark, block_bytes)
     shared = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]

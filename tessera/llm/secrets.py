@@ -97,7 +97,11 @@ def _of_kind(kind: str):
 
 
 def digests(docs: DataFrame, repository: str = "source", owner: str | None = None) -> DataFrame:
-    """``scan`` for every input row: counts of each base kind, digest of base spans, all spans, and how many look live or copied."""
+    """``scan`` for every input row: counts of each base kind, digest of base spans, all spans, and how many look live or copied.
+
+    Null and empty texts have no spans; null ids and repeated rows stay, texts of any length are taken whole,
+    an empty table gives none. Columns but id, text, repository and owner are ignored.
+    """
     spans = scan(docs, repository, owner).withColumnRenamed("doc_id", "id")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_row"))
     all_ = F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,order:int,kind:string,stop:int,hash:string,n_repositories:bigint,n_owners:bigint,live:boolean>>)"))

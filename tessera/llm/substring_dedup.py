@@ -1,4 +1,8 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against indexed reference blocks.
+"""Substring deduplication against indexed blocks of reference passages.
+
+The method dealt, a greedy relative Lempel-Ziv parse, needs the reference block that a stretch is parsed
+against in one task; the block of a passage that a third of all documents hold would be most of the corpus.
+Blocks are kept, but as rows of joins that Spark can split, and hashes are compared instead of a parse.
 
 A window of ``WINDOW`` words is addressed by the least hashed ``GRAM``-word run inside it, its anchor. All
 windows of a document that follow each other and share an anchor form a piece, which is the unit that a
@@ -6,10 +10,9 @@ reference block holds: the block of an anchor indexes the different pieces of al
 Equal windows have equal anchors, so a document's match can only lie in the blocks of its own anchors, and
 every such block is looked at.
 
-Parsing is greedy: a piece that the block holds from an earlier document is one whole factor. Where a piece
-differs from the block's others (the ends of a copied passage: factor boundaries), each of its windows is
-checked against the windows of the block's other pieces. Factors of ``WINDOW`` words or more become
-duplicate spans, and touching ones join.
+A piece that the block holds from an earlier document is one whole factor. Where a piece differs from the
+block's others (the ends of a copied passage: factor boundaries), each of its windows is checked against the
+windows of the other pieces. Factors become duplicate spans, and touching ones join.
 """
 
 from __future__ import annotations
@@ -169,7 +172,8 @@ def parse(docs: DataFrame, with_text: bool = False) -> DataFrame:
     (only ``with_text``, and null where nothing was removed). A word goes if a window over it also starts in
     a document with a smaller id; windows are those of the input. Null and empty texts have no words. A null
     id counts as larger than all others. Rows that share an id take nothing from each other; equal rows have
-    equal results. Other columns are ignored.
+    equal results. Texts of any length are taken whole, in ranges of bounded size; an empty table gives none.
+    Other columns are ignored, whatever their names.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
     parsed = saved(_parsed(texts))
