@@ -22,7 +22,6 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT
 
 _UTF8 = """list_transform(string_split(coalesce(text, ''), ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] WHEN ord(c) < 2048 THEN [192 + (ord(c) >> 6), 128 + (ord(c) & 63)]
     WHEN ord(c) < 65536 THEN [224 + (ord(c) >> 12), 128 + ((ord(c) >> 6) & 63), 128 + (ord(c) & 63)] ELSE [240 + (ord(c) >> 18), 128 + ((ord(c) >> 12) & 63), 128 + ((ord(c) >> 6) & 63), 128 + (ord(c) & 63)] END)"""
-#: Slots stand in the order of one bucket, which is all that small tables have.
 SHARDING = f"""WITH RECURSIVE crc AS (SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(n))),
   d AS (SELECT doc_id, (strlen(coalesce(text, '')) + 16)::BIGINT AS size, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(list_reduce(list_concat([4294967295], flatten({_UTF8})), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) END::BIGINT AS text_crc32 FROM documents, crc),
   jump(doc_id, shards, k, b, j) AS (SELECT DISTINCT doc_id, s, coalesce(doc_id, 0)::HUGEINT, -1::BIGINT, 0::BIGINT FROM d, (VALUES (40), (41)) v(s)

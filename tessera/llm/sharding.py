@@ -10,10 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import saved
+from tessera.llm.common import dropped, saved
 
 LAW = "key"
-BUCKET_ROWS = 4_096
+BUCKET_ROWS = 65_536
 COPIES = 10_000
 
 
@@ -46,23 +46,25 @@ def assign(docs: DataFrame, shards: int) -> DataFrame:
 
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard``, one row for each input row. Size is
     the UTF-8 bytes of the text plus 16, a null text has none and the checksum of an empty one. Within a
-    shard, slots run from 0 without a gap, in the order of hashed id buckets, ids, sizes and checksums;
-    repeated rows get slots of their own. A null id counts as key 0. ``grown_shard`` is the shard with one
-    more shard. Other columns are ignored.
+    shard, slots run from 0 without a gap, in the order of ids (null first), sizes and checksums, whatever
+    the size of the table; repeated rows get slots of their own. A null id counts as key 0. ``grown_shard``
+    is the shard with one more shard. Other columns are ignored.
 
-    Equal digests are counted before the shuffle, and slots are numbered within buckets of a shard that
-    hold about ``BUCKET_ROWS`` rows at any input size, so no task sees a whole shard.
+    Equal digests are counted before the shuffle. Slots are numbered within ranges of that order that hold
+    about ``BUCKET_ROWS`` digests at any input size, so no task sees a whole shard, and added up.
     """
+    spark, order = docs.sparkSession, ["doc_id", "size", "text_crc32"]
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.octet_length(text) + 16).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"))
-    buckets = max(1, -(-docs.count() // (shards * BUCKET_ROWS)))
-    groups = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
-    groups = groups.withColumns({"shard": shard_of(F.col("doc_id"), shards), "grown_shard": shard_of(F.col("doc_id"), shards + 1), "bucket": F.pmod(F.xxhash64("doc_id"), F.lit(buckets))})
-    groups = saved(groups)
+    groups = saved(rows.groupBy(*order).agg(F.count(F.lit(1)).alias("copies")))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-groups.count() // BUCKET_ROWS))
+    sharded = groups.withColumns({"shard": shard_of(F.col("doc_id"), shards), "grown_shard": shard_of(F.col("doc_id"), shards + 1)})
+    placed = saved(sharded.repartitionByRange(parts, "shard", *order).withColumn("bucket", F.spark_partition_id()))
+    dropped(groups)
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.groupBy("shard", "bucket").agg(F.sum("copies").alias("n")).select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    placed = groups.withColumn("inside", F.coalesce(F.sum("copies").over(inside), F.lit(0))).join(offsets, ["shard", "bucket"])
+    offsets = placed.groupBy("shard", "bucket").agg(F.sum("copies").alias("n")).select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("shard", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("inside", F.coalesce(F.sum("copies").over(inside), F.lit(0))).join(offsets, ["shard", "bucket"])
     placed = placed.withColumn("first", F.col("offset") + F.col("inside"))
     # Copies come back in blocks, so no array is longer than a block.
     blocks = placed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES).cast("bigint"))))
