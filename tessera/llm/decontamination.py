@@ -9,16 +9,21 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.types import StructField, StructType
 
-from tessera.llm.common import held, in_batches, utf8
+from tessera.llm.common import dropped, held, in_batches, saved, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 1_000_000
 SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:int,stop:int>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+_FOUND = pa.struct([("spans", _SPANS), ("items", pa.list_(pa.string()))])
 _KEEP = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c > 127 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
 
 
@@ -156,21 +161,14 @@ def _automaton(key: str, items: list[tuple[str, bytes]], window: int) -> ItemAut
     return held("items", key, lambda: ItemAutomaton([(name, words_of(text)) for name, text in items], window))
 
 
-def _blocks(benchmark: DataFrame, most: int) -> list[list[tuple[str, bytes]]]:
-    """Items in blocks of about ``most`` bytes of text; a small benchmark is one block."""
+def _blocks(benchmark: DataFrame, most: int) -> Iterator[tuple[bool, list[tuple[str, bytes]]]]:
+    """Whether it is the last, and items of about ``most`` bytes of text: one block after another, so the driver holds one."""
     items = benchmark.where(F.length("text") > 0).select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    n = -(-size // most)
-    blocks = []
+    n = max(1, -(-size // most))
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()
-        blocks.append(sorted((r["item"], r["text"].encode()) for r in rows))
-    return blocks
-
-
-def _rows(blocks: list) -> int:
-    """Rows at a time: a whole batch where automata have to be built for each."""
-    return 1_000 if len(blocks) < 2 else 1_000_000
+        yield k == n - 1, sorted((r["item"], r["text"].encode()) for r in rows)
 
 
 def _merged(rows: list) -> list[tuple[int, int]]:
@@ -183,6 +181,49 @@ def _merged(rows: list) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _streamed(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, result: Callable, schema) -> DataFrame:
+    """The words of ``docs`` through the automaton of every block of items.
+
+    A pass over the documents takes one block. Between passes the documents are a table with what was found
+    so far, and the last block's broadcast is gone, so memory is that of one block at any size of the
+    benchmark. ``result`` makes a batch of rows from a batch of ``docs``, its words, spans and items.
+    """
+    names = docs.columns
+    state = "found"
+    while state in map(str.lower, names):
+        state += "_"
+    frame, before = docs, None
+    for last, block in _blocks(benchmark, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(block)  # block_bytes
+        key = hashlib.sha256(repr(block).encode()).hexdigest() + f":{window}"
+
+        def step(batch: pa.RecordBatch, shared=shared, key=key, last=last, first=before is None) -> pa.RecordBatch:
+            words = [words_of(t) for t in utf8(batch, "text")]
+            automaton = _automaton(key, shared.value, window)
+            spans, items = map(list, zip(*map(automaton.hits, words)))
+            if not first:
+                for i, old in enumerate(batch.column(state).to_pylist()):
+                    spans[i] = _merged(spans[i] + [(s["start"], s["stop"]) for s in old["spans"]])
+                    items[i] |= set(old["items"])
+            batch = batch.select(names)
+            if last:
+                return result(batch, words, spans, items)
+            found = [{"spans": _structs(s), "items": sorted(x)} for s, x in zip(spans, items)]
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _FOUND)], names=[*names, state])
+
+        if last:
+            return in_batches(frame, step, schema)
+        frame = saved(in_batches(frame, step, StructType([*docs.schema.fields, StructField(state, from_arrow_type(_FOUND))])))
+        shared.destroy()
+        if before is not None:
+            dropped(before)
+        before = frame
+
+
+def _structs(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+    return [{"start": a, "stop": b} for a, b in spans]
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Words of every document that lie in a window of some test item.
 
@@ -190,28 +231,31 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     each input row. A window is ``window`` consecutive words of an item, or all words of a shorter one.
     Null and empty texts have no words, null items none either; a null item id counts as ``null``, items
     that share an id as one. Repeated rows repeat, other columns are ignored. Test items come in blocks of
-    bounded size. Each block's automaton takes the rows of a batch one after another; with more than one
-    block it is built again for each batch, so memory stays that of one.
+    bounded size, each a pass over the documents; a benchmark of one block takes one pass.
     """
-    blocks = _blocks(benchmark, block_bytes)
-    shared = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]  # block_bytes each
-    keys = [hashlib.sha256(repr(b).encode()).hexdigest() + f":{window}" for b in blocks]
-
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [words_of(t) for t in utf8(batch, "text")]
-        spans: list[list[tuple[int, int]]] = [[] for _ in words]
-        items: list[set[str]] = [set() for _ in words]
-        for key, block in zip(keys, shared):
-            automaton = _automaton(key, block.value, window)
-            for i, row in enumerate(words):
-                found, names = automaton.hits(row)
-                if found:
-                    spans[i] = _merged(spans[i] + found) if spans[i] else found
-                    items[i] |= names
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(list(map(len, words)), pa.int64()), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], kind)], names=["doc_id", "n_words", "n_hit", "items", "spans"])
-
-    return in_batches(docs.select("doc_id", "text"), step, SCHEMA, _rows(blocks))
+
+    def result(batch: pa.RecordBatch, words: list, spans: list, items: list) -> pa.RecordBatch:
+        columns = [batch.column("doc_id").cast(pa.int64()), pa.array(list(map(len, words)), pa.int64()), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64())]
+        columns += [pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(list(map(_structs, spans)), _SPANS)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "items", "spans"])
+
+    return _streamed(docs.select("doc_id", "text"), benchmark, window, block_bytes, result, SCHEMA)
+
+
+def _cut(text: bytes | None, words: list[bytes], spans: list[tuple[int, int]]) -> bytes | None:
+    """``text`` without the spans of its words."""
+    if not spans:
+        return text
+    flat, places, end = text.translate(_KEEP), [], 0
+    for word in words:
+        begin = flat.index(word, end)
+        end = begin + len(word)
+        places.append((begin, end))
+    parts, last = [], 0
+    for a, b in spans:
+        parts.append(text[last : places[a][0]])
+        last = places[b - 1][1]
+    return b"".join([*parts, text[last:]])
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.5, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -222,36 +266,13 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.
     stay alike. Texts of any length are taken whole. All columns are kept, whatever their names; empty tables
     of documents or items change nothing.
     """
-    blocks = _blocks(benchmark, block_bytes)
-    shared = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]
-    keys = [hashlib.sha256(repr(b).encode()).hexdigest() + f":{window}" for b in blocks]
-    names, at = docs.columns, docs.columns.index("text")
-
-    def cleaned(text: bytes | None) -> tuple[bytes | None, bool]:
-        words = words_of(text)
-        spans: list[tuple[int, int]] = []
-        for key, block in zip(keys, shared):
-            found, _ = _automaton(key, block.value, window).hits(words)
-            spans = _merged(spans + found) if spans else found
-        if not spans:
-            return text, True
-        if sum(b - a for a, b in spans) > most_share * len(words):
-            return text, False
-        flat, places, end = text.translate(_KEEP), [], 0
-        for word in words:
-            begin = flat.index(word, end)
-            end = begin + len(word)
-            places.append((begin, end))
-        parts, last = [], 0
-        for a, b in spans:
-            parts.append(text[last : places[a][0]])
-            last = places[b - 1][1]
-        return b"".join([*parts, text[last:]]), True
-
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, keep = zip(*map(cleaned, utf8(batch, "text")))
+    at = docs.columns.index("text")
+
+    def result(batch: pa.RecordBatch, words: list, spans: list, items: list) -> pa.RecordBatch:
+        keep = [not s or sum(b - a for a, b in s) <= most_share * len(w) for w, s in zip(words, spans)]
+        texts = [_cut(t, w, s) if k else t for t, w, s, k in zip(utf8(batch, "text"), words, spans, keep)]
         columns = list(batch.columns)
         columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
+        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(keep))
 
-    return in_batches(docs, step, docs.schema, _rows(blocks))
+    return _streamed(docs, benchmark, window, block_bytes, result, docs.schema)

@@ -67,11 +67,14 @@ def test_sharding(spark):
 def test_slots_of_many_buckets_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 16)
     monkeypatch.setattr(sharding, "COPIES", 7)
-    found = sharding.assign(frame(spark, [*((i, "x") for i in range(300)), *((7, "x") for _ in range(40))]), 3).collect()
+    rows = [*((i, "x") for i in range(300)), *((7, "x") for _ in range(40)), (7, "a longer one"), (None, "x"), (None, None)]
+    found = sharding.assign(frame(spark, rows), 3).collect()
     slots = defaultdict(list)
     for r in found:
-        slots[r["shard"]].append(r["slot"])
-    assert len(found) == 340 and all(sorted(v) == list(range(len(v))) for v in slots.values())
+        slots[r["shard"]].append((r["slot"], r["doc_id"] is not None, r["doc_id"] or 0, r["size"], r["text_crc32"]))
+    assert len(found) == len(rows) and all([s[0] for s in sorted(v)] == list(range(len(v))) for v in slots.values())
+    for v in slots.values():
+        assert [s[1:] for s in sorted(v)] == sorted(s[1:] for s in v)
 
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -143,6 +146,8 @@ def test_decontamination_equals_brute_force(spark):
         found = decontamination.hits(docs, items, block_bytes=size).collect()
         assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["n_words"], r["n_hit"], r["items"]) for r in found) == expected
     clean = {r["doc_id"]: r["text"] for r in decontamination.decontaminated(docs, items).collect()}
+    in_passes = decontamination.decontaminated(docs.withColumn("found", F.lit("keep")), items, block_bytes=60).collect()
+    assert all(r["found"] == "keep" for r in in_passes) and sorted((r["doc_id"] or -1, r["text"] or "") for r in in_passes) == sorted((r["doc_id"] or -1, r["text"] or "") for r in decontamination.decontaminated(docs, items).collect())
     assert 6 not in clean and clean[900] is None and clean[7] == rows[len(AWKWARD) + 6][1]
     assert clean[1].split() == words(1, 40) + words(2, 10)
     assert decontamination.hits(docs, items.where("item_id < 0")).where("n_hit > 0").count() == 0
