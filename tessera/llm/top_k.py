@@ -14,9 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import saved
+
 K = 10
 BLOCK = 256
-QUERIES = 4_096
+QUERIES = 32_768
 SEEDS = 4_096
 CENTRES = 64
 SCHEMA = "query_id bigint, vec_id bigint, score bigint"
@@ -119,43 +121,45 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, batch: int = QUERIES
     (different vectors under one query id: the smallest). Scores beyond 64 bits are clipped to -(2^63 - 2) and 2^63 - 1. Other columns are
     ignored.
 
-    Queries come in batches of bounded size, each broadcast to all rows. A bounded sample of rows gives
-    each query a k-th score to start from, which only prunes.
+    Queries come in batches of bounded size, each broadcast to all rows, whose best rows are written before
+    the next one comes: driver and executors hold one batch at any number of queries. A bounded sample of
+    rows gives each query a k-th score to start from, which only prunes.
     """
     rows = usable(vectors)
     width = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    n = queries.count()
+    batches = max(1, -(-queries.count() // batch))
     seeds = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEEDS).toArrow()
     seed_ids, seed_rows = seeds["vec_id"].to_numpy(), quantised(seeds["embedding"].combine_chunks(), width) if len(seeds) else np.zeros((0, width))
     centres = _centres(seed_rows)
-    parts = []
-    for b in range(-(-n // batch)):
-        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(-(-n // batch))) == b).toArrow()
-        if not len(part):
-            continue
-        ids, wanted = part["vec_id"].to_numpy(), quantised(part["embedding"].combine_chunks(), width)
+    written = []
+    for b in range(batches):
+        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(batches)) == b).toArrow()
+        ids, wanted = part["vec_id"].to_numpy(), quantised(part["embedding"].combine_chunks(), width) if len(part) else np.zeros((0, width))
         start = Search(ids, wanted, k, np.full(len(ids), _NONE))
-        if len(seed_rows):
+        if len(seed_rows) and len(ids):
             start.add(seed_ids, seed_rows, centres)
-        least = start.score[:, -1]
-        shared = vectors.sparkSession.sparkContext.broadcast((ids, wanted, least, centres))
+        shared = vectors.sparkSession.sparkContext.broadcast((ids, wanted, start.score[:, -1], centres))  # one batch
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ids, wanted, least, centres = shared.value
             search = Search(ids, wanted, k, least)
             for rows in batches:
-                if rows.num_rows:
+                if rows.num_rows and len(ids):
                     search.add(rows.column("vec_id").to_numpy(), quantised(rows.column("embedding"), wanted.shape[1]), centres)
             columns = search.rows()
             if len(columns[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
-        parts.append(rows.mapInArrow(run, SCHEMA))
-    if not parts:
-        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    best = parts[0]
-    for part in parts[1:]:
-        best = best.unionByName(part)
+        found = _ranked(rows.mapInArrow(run, SCHEMA), k)
+        if batches == 1:
+            return found
+        written.append(saved(found).saved_at)
+        shared.destroy()
+    return vectors.sparkSession.read.schema(found.schema).parquet(*written)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query's rows, with their ranks."""
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
