@@ -74,6 +74,82 @@ def test_stored_probabilities_are_interpolated_kneser_ney():
             assert -1e-9 < rest < 1
 
 
+def test_models_equal_kneser_ney_written_anew():
+    """Orders, discounts and continuations from their definitions: counts of lists, no back-off tables."""
+    texts = {"a": ["abab abc", "cab bab", "abc aab ca"], "b": ["bbc cc", "acb a", "cab bcc"]}
+    models = language_id.fit(texts, order=3)
+    alphabet = {c for x in texts.values() for t in x for c in t if c != " "}
+
+    def probability(words, context, char):
+        """Of ``char`` after ``context``; unseen contexts leave all to the shorter one."""
+        n = len(context) + 1
+        grams = lambda m: [w[i : i + m] for w in words for i in range(len(w) - m + 1)]
+        if n == 3:
+            counted = grams(3)
+        else:
+            # A type of what comes before counts once; at a word's start nothing comes before.
+            counted = [g[1:] for g in set(grams(n + 1))] + [g for g in grams(n) if n > 1 and g[0] == "\x02"]
+        counted = [g for g in counted if g != "\x02"]
+        times = {g: counted.count(g) for g in set(counted)}
+        once, twice = (list(times.values()).count(c) for c in (1, 2))
+        discount = once / (once + 2 * twice) if once and twice else 0.5
+        lower = 1 / (len(alphabet) + 2) if n == 1 else probability(words, context[1:], char)
+        after = {g: c for g, c in times.items() if g[:-1] == context}
+        if not after:
+            return lower
+        return (max(after.get(context + char, 0) - discount, 0) + discount * len(after) * lower) / sum(after.values())
+
+    tested = ["abc", "bbb", "cazb", "x", "a"]
+    total, size = models.log_probabilities(tested)
+    for j, language in enumerate(models.languages):
+        words = [f"\x02{w}\x03" for t in texts[language] for w in t.split()]
+        kept = [t for i, t in enumerate(texts[language]) if i % 5 or len(texts[language]) < 5]
+        assert kept == texts[language]
+        for word, row in zip(tested, total):
+            padded = f"\x02{word}\x03"
+            expected = sum(np.log(probability(words, padded[max(0, i - 2) : i], padded[i])) for i in range(1, len(padded)))
+            assert row[j] == pytest.approx(expected)
+        for context in ("", "a", "\x02", "ab", "ca"):
+            rest = 1 - sum(probability(words, context, c) for c in [*sorted(alphabet), "\x03"])
+            assert rest == pytest.approx(probability(words, context, "unseen"))
+
+
+def test_quality_steps_follow_the_numerical_gradient(monkeypatch):
+    """One step from known weights moves softmax and vectors against the loss's differences."""
+    monkeypatch.setattr(quality, "EPOCHS", 1)
+    monkeypatch.setattr(quality, "BUCKETS", 64)
+    text, rng = b"ab cd ab efg", np.random.default_rng(7)
+    start = rng.uniform(-1 / quality.DIMENSIONS, 1 / quality.DIMENSIONS, (64, quality.DIMENSIONS)).astype(np.float32).astype(float)
+    buckets, share = quality._document(text)
+    for label in (0, 1):
+        # The first step has a softmax of zeros, so it moves the softmax alone; the second moves the vectors too.
+        rows = [(text, label)] * 2
+        weight = float(np.clip([len(rows) / max(1, 2 * sum(1 - r[1] for r in rows)), len(rows) / max(1, 2 * sum(r[1] for r in rows))], 1 / 3, 3)[label])
+
+        def loss(vectors, softmax, bias):
+            z = (share @ vectors[buckets]) @ softmax + bias
+            return -weight * (z[label] - np.log(np.exp(z).sum()))
+
+        def slope(f, at):
+            out = np.zeros_like(at)
+            for i in np.ndindex(at.shape):
+                up, down = at.copy(), at.copy()
+                up[i] += 1e-5
+                down[i] -= 1e-5
+                out[i] = (f(up) - f(down)) / 2e-5
+            return out
+
+        vectors, softmax, bias = start.copy(), np.zeros((quality.DIMENSIONS, 2)), np.zeros(2)
+        for step in range(2):
+            rate = quality.RATE * (1 - step / 2)
+            by_softmax, by_bias, by_vectors = slope(lambda x: loss(vectors, x, bias), softmax), slope(lambda x: loss(vectors, softmax, x), bias), slope(lambda x: loss(x, softmax, bias), vectors)
+            softmax, bias = softmax - rate * by_softmax, bias - 0.1 * rate * by_bias
+            vectors = vectors - rate * 0.1 * by_vectors / (np.square(share).sum() + 1e-12)
+        model = quality.fit(rows)
+        assert model.projected == pytest.approx(vectors @ (softmax[:, 1] - softmax[:, 0]), abs=1e-5)
+        assert model.bias == pytest.approx(bias[1] - bias[0], abs=1e-5)
+
+
 def marked(n=400):
     rng = random.Random(8)
     out = []
