@@ -19,6 +19,7 @@ from tessera.operators import blocking, evaluation, features, labels, model, out
 from tessera.sources import delimited as files
 
 log = logging.getLogger(__name__)
+LOGGED_TREES = 50
 MODES = ("train", "predict", "full", "eval")
 
 
@@ -82,8 +83,13 @@ class Linkage:
         if self.settings.retrain or not self._has_model():
             sample = labels.sampled(labels.labelled(pairs.select("s1_id", "cand_id"), truth), self.settings).join(fold, "s1_id")
             rows = self._features(sample, records).join(sample, ["s1_id", "cand_id"])
-            fitted = model.train(rows.withColumn("is_val", F.col("is_val")), self.settings)
+            rows = rows.persist()
+            fitted = model.train(rows, self.settings)
             model.save(fitted, self.model_path)
+            for trees, loss in enumerate(model.losses(fitted, rows.where("is_val")), 1):
+                if trees % LOGGED_TREES == 0:
+                    log.info("%d trees: validation loss %.5f", trees, loss)
+            rows.unpersist()
             for name, value in model.importances(fitted):
                 log.info("importance %s %.4f", name, value)
         chosen = self.tune(records, pairs, truth, fold)

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import Settings
-from tessera.operators import blocking, evaluation, features, labels, output, profile, threshold, tfidf
+from tessera.functions.similarity import FEATURES
+from tessera.operators import blocking, evaluation, features, labels, model, output, profile, threshold, tfidf
 from tessera.sources import delimited as files
 
 RECORD = "entity_id string, source string, business_name string, business_address string, country string"
@@ -178,3 +179,16 @@ def test_profile(spark):
     assert sum(r["n"] for r in profile.length_histogram(df, "t").collect()) >= 3
     assert profile.summary({"x": df}).first()["missing_cells"] == 4
     assert {r["column"]: r["high"] for r in profile.lengths(df).collect()} == {"s": 1, "t": 3}
+
+
+def test_losses_of_each_tree(spark):
+    rows = spark.range(400).select(*(F.pmod(F.xxhash64("id", F.lit(c)), F.lit(100)).cast("double").alias(c) for c in FEATURES), (F.col("id") % 4 == 0).alias("is_val"))
+    rows = rows.withColumn("label", (F.col(FEATURES[0]) > 50).cast("int")).cache()
+    fitted = model.train(rows, Settings(depth=2, least_rows=1), trees=4)
+    found = model.losses(fitted, rows.where("is_val"))
+    # Early stopping may keep fewer trees than it grew.
+    assert 1 < len(found) == fitted.stages[-1].getNumTrees <= 4 and found == sorted(found, reverse=True) and found[0] > found[-1] > 0
+
+
+def test_preview(spark):
+    assert profile.preview(spark.range(9), 3).count() == 3 and profile.preview(spark.range(0)).count() == 0
