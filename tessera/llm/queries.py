@@ -17,7 +17,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Encode every document, decode the ids again: ``doc_id, n_pieces, ids_xxh64, n_decoded, round_trip``."""
-    both = sentence_pieces.round_trip(table(spark, sf_dir, "documents"), SentencePieceModel.load(vocabulary))
+    both = sentence_pieces.round_trip(table(spark, sf_dir, "documents"), SentencePieceModel.load(vocabulary), memory=3)
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_xxh64"), "n_decoded", "round_trip")
 
 

@@ -36,7 +36,7 @@ _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 class Lattice:
     """Paths of pieces through a text, with the caches that a worker keeps."""
 
-    def __init__(self, model: SentencePieceModel):
+    def __init__(self, model: SentencePieceModel, memory: int = 1):
         self.bpe = model.kind == BPE
         self.dummy = model.dummy_prefix
         self.ids = {t: i for i, (t, _, kind) in enumerate(model.pieces) if kind == NORMAL}
@@ -53,10 +53,10 @@ class Lattice:
         #: Whether two pieces may stand side by side, by their numbers; see ``fits``.
         self.pairs: dict[int, bool] = {}
         #: Ids (as bytes of 32-bit numbers) and weight of the best path over a stretch without a cut inside; ids
-        #: of a word with its space mark, and of one without (which is the shorter key).
-        self.atoms = Remembered(self._atom, 60_000)
-        self.words = Remembered(self._word, 30_000)
-        self.plain = Remembered(lambda word: self._word(SPACE + word), 80_000)
+        #: of a word with its space mark, and of one without (which is the shorter key). ``memory`` multiplies how many are kept.
+        self.atoms = Remembered(self._atom, 60_000 * memory)
+        self.words = Remembered(self._word, 30_000 * memory)
+        self.plain = Remembered(lambda word: self._word(SPACE + word), 80_000 * memory)
         #: Pieces that merges reach at all; some BPE vocabularies hold others.
         self.good = {piece for piece in self.ids if not self.bpe or self._merged(piece) == [piece]}
 
@@ -301,8 +301,8 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
     return [states[k] for k in range(1, len(matrices) + 1)]
 
 
-def lattice(model: SentencePieceModel) -> Lattice:
-    return held("lattice", model.digest or id(model), lambda: Lattice(model))
+def lattice(model: SentencePieceModel, memory: int = 1) -> Lattice:
+    return held("lattice", (model.digest or id(model), memory), lambda: Lattice(model, memory))
 
 
 def _ids(rows: list[bytes]) -> pa.Array:
@@ -316,16 +316,16 @@ def _is_long(giant: int):
     return F.coalesce(F.length("text"), F.lit(0)) > giant
 
 
-def _whole(docs: DataFrame, model: SentencePieceModel) -> DataFrame:
+def _whole(docs: DataFrame, model: SentencePieceModel, memory: int) -> DataFrame:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode = lattice(model).encoded
+        encode = lattice(model, memory).encoded
         ids = _ids([encode(t or "") for t in batch.column("text").to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), ids], names=["doc_id", "text", "ids"])
 
     return in_batches(docs, step, "doc_id bigint, text string, ids array<int>")
 
 
-def _chunked(docs: DataFrame, model: SentencePieceModel, chunk: int) -> DataFrame:
+def _chunked(docs: DataFrame, model: SentencePieceModel, chunk: int, memory: int) -> DataFrame:
     reach = max(map(len, model.texts()), default=1)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,7 +344,7 @@ def _chunked(docs: DataFrame, model: SentencePieceModel, chunk: int) -> DataFram
     spread = chunks.repartition("row", "k")
 
     def prepared(part: str, k: int, p: int, q: int) -> tuple[Lattice, str, int, int, bool]:
-        held = lattice(model)
+        held = lattice(model, memory)
         text = held.normal(part, k == 0)
         grown = len(text) - len(part)
         return held, text, p + grown * (k > 0), q + grown, k == 0
@@ -380,16 +380,17 @@ def _chunked(docs: DataFrame, model: SentencePieceModel, chunk: int) -> DataFram
     return ordered.select("doc_id", F.array_join("all.part", "").alias("text"), F.flatten("all.ids").alias("ids"))
 
 
-def encode(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, giant: int = GIANT) -> DataFrame:
+def encode(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, giant: int = GIANT, memory: int = 1) -> DataFrame:
     """Piece ids of every whole text: ``doc_id, text, ids``, one row for each input row.
 
     Texts of over ``giant`` characters go through the scan, others through one lattice; both give the ids of the
     model's own encoder. Null and empty texts get no ids, null ids and repeated rows stay as they are,
     columns other than doc_id and text are ignored. Characters that are no piece become byte pieces, or
-    a run of them one unknown piece where the model has no byte pieces.
+    a run of them one unknown piece where the model has no byte pieces. ``memory`` is how much a worker keeps of
+    what it has encoded, some 45 MB for each unit; results are the same at any.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return _whole(docs.where(~_is_long(giant)), model).unionByName(_chunked(docs.where(_is_long(giant)), model, chunk))
+    return _whole(docs.where(~_is_long(giant)), model, memory).unionByName(_chunked(docs.where(_is_long(giant)), model, chunk, memory))
 
 
 class Decoder:
@@ -448,7 +449,7 @@ def decode(encoded: DataFrame, model: SentencePieceModel) -> DataFrame:
     return in_batches(encoded, step, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))
 
 
-def round_trip(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, giant: int = GIANT) -> DataFrame:
+def round_trip(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, giant: int = GIANT, memory: int = 1) -> DataFrame:
     """``encode`` and ``decode`` of every whole text: ``doc_id, ids, n_decoded, round_trip``.
 
     ``n_decoded`` counts the characters of the decoded text, and ``round_trip`` holds where it equals the
@@ -458,12 +459,12 @@ def round_trip(docs: DataFrame, model: SentencePieceModel, chunk: int = CHUNK, g
     names = ["doc_id", "ids", "n_decoded", "round_trip"]
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode, text_of = lattice(model).encoded, Decoder(model).text
+        encode, text_of = lattice(model, memory).encoded, Decoder(model).text
         texts = [t or "" for t in batch.column("text").to_pylist()]
         ids = [encode(t) for t in texts]
         decoded = [text_of(np.frombuffer(x, np.int32).tolist()) for x in ids]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), _ids(ids), pa.array(list(map(len, decoded)), pa.int64()), pa.array([a == b for a, b in zip(texts, decoded)])], names=names)
 
     whole = in_batches(docs.where(~_is_long(giant)), step, "doc_id bigint, ids array<int>, n_decoded bigint, round_trip boolean", 500)
-    long = decode(_chunked(docs.where(_is_long(giant)), model, chunk), model)
+    long = decode(_chunked(docs.where(_is_long(giant)), model, chunk, memory), model)
     return whole.unionByName(long.select("doc_id", "ids", F.length("decoded").cast("bigint").alias("n_decoded"), (F.col("text") == F.col("decoded")).alias("round_trip")))
