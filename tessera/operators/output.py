@@ -27,9 +27,9 @@ def candidate_pairs(pairs: DataFrame, s1: DataFrame, valid: DataFrame | None = N
     return result(pairs, s1, "candidate_entity_ids", valid)
 
 
-def violations(predicted: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Predicted pairs that are no candidates."""
-    return predicted.select("s1_id", "cand_id").join(pairs, ["s1_id", "cand_id"], "left_anti")
+def violations(predicted: DataFrame, pairs: DataFrame, on: tuple[str, ...] = ("s1_id", "cand_id")) -> DataFrame:
+    """Predicted pairs that are no candidates, which may go by other columns of both than the ids (``on``)."""
+    return predicted.join(pairs, list(on), "left_anti").select("s1_id", "cand_id")
 
 
 def uncovered(s1: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -54,6 +54,30 @@ def test_tfidf_vectors_of_two_texts(spark):
     assert w["S1-1", " a"] == pytest.approx(0.449436, abs=1e-6) and w["S2-2", " a"] == pytest.approx(0.335176, abs=1e-6)
 
 
+def test_ties_leave_a_block_as_k_rows(spark):
+    rows = [("S1-1", "S1", "acme tools", "", "")] + [(f"S2-{i}", "S2", "acme tools", "", "") for i in range(100, 400)]
+    df = normalized(spark, rows)
+    tf = tfidf.grams(df, fields={"name": "norm_name"})
+    found = blocking.scored(tfidf.vectors(tfidf.weights(tf, tfidf.fit(df, tf)))).collect()
+    assert sorted(r["cand_id"] for r in found) == [f"S2-{i}" for i in range(100, 110)]
+
+
+def test_each_text_is_scored_once_for_all_records_that_have_it(spark):
+    rows = [(f"{r[0]}{copy}", *r[1:]) for r in records() for copy in range(4)]
+    df = normalized(spark, rows).repartition(3)
+    top = blocking.top_texts(df, {"name": "norm_name"})
+    texts = {(r[4].lower(), r[2]) for r in rows if r[1] == "S1"}
+    assert top.count() <= len(texts) < sum(r[1] == "S1" for r in rows)
+    tf = tfidf.grams(df)
+    expected = blocking.retrieve(tfidf.vectors(tfidf.weights(tf, tfidf.fit(df, tf))))
+    same = blocking.alike(df)
+    found = blocking.retrieve_alike(df, same)
+    assert found.select("s1_id").distinct().count() < expected.select("s1_id").distinct().count()
+    whole = found.withColumnRenamed("s1_id", "rep").join(same, "rep").select(*expected.columns)
+    shown = [sorted((r["s1_id"], r["cand_id"], r["source"], r["rank"], round(r["score"], 6)) for r in d.collect()) for d in (whole, expected)]
+    assert shown[0] == shown[1]
+
+
 @pytest.mark.parametrize("blocks", [(512, 4096), (3, 5)])
 def test_retrieval_equals_brute_force(spark, blocks):
     rows = records()
