@@ -54,6 +54,19 @@ def test_tfidf_vectors_of_two_texts(spark):
     assert w["S1-1", " a"] == pytest.approx(0.449436, abs=1e-6) and w["S2-2", " a"] == pytest.approx(0.335176, abs=1e-6)
 
 
+def test_coded_grams_are_those_of_each_text():
+    texts = ["acme tools", "", "a", None, "aa aa\x1caa", "x" * 9, " é\U0001f600 b "]
+    place, code, n = tfidf.coded(texts)
+
+    def gram(c):
+        return "".join(chr(x) for x in (c >> 42, c >> 21 & 0x1FFFFF)) + (chr((c & 0x1FFFFF) - 1) if c & 0x1FFFFF else "")
+
+    found = defaultdict(Counter)
+    for p, c, x in zip(place.tolist(), code.tolist(), n.tolist()):
+        found[p][gram(c)] += x
+    assert {i: grams_of(t) for i, t in enumerate(texts) if t and t.strip()} == dict(found)
+
+
 def test_ties_leave_a_block_as_k_rows(spark):
     rows = [("S1-1", "S1", "acme tools", "", "")] + [(f"S2-{i}", "S2", "acme tools", "", "") for i in range(100, 400)]
     df = normalized(spark, rows)
