@@ -167,6 +167,16 @@ def test_threshold_curve_equals_one_pass_for_each_point(spark):
         threshold.best(scores, "accuracy")
 
 
+def test_labels_and_counts_deal_pairs_by_entity_only(spark, capsys):
+    _, truth, found = case(spark)
+    frames = [labels.labelled(found, truth), labels.positives(found, truth), labels.negatives(found, truth)]
+    for frame in frames:
+        capsys.readouterr()
+        frame.explain()
+        dealt = [x.split("hashpartitioning(")[1].split(")")[0] for x in capsys.readouterr().out.splitlines() if "hashpartitioning(" in x]
+        assert dealt and not any("cand_id" in x for x in dealt)
+
+
 def test_sampling_and_split(spark):
     rows = [("a", f"S2-{i}", int(i == 0)) for i in range(7)] + [("b", f"S2-{i}", int(i == 0)) for i in range(4)] + [("c", f"S2-{i}", 0) for i in range(5)]
     df = spark.createDataFrame(rows, "s1_id string, cand_id string, label int")
