@@ -17,11 +17,11 @@ def _share(part: Column, whole: Column) -> Column:
 
 def entity_counts(entities: DataFrame, truth: DataFrame, predicted: DataFrame) -> DataFrame:
     """``s1_id, tp, pp, rp`` of every truth entity; predictions for others are ignored."""
-    real = truth.select("s1_id", "cand_id", F.lit(1).alias("r"), F.lit(0).alias("p")).distinct()
-    said = predicted.select("s1_id", "cand_id", F.lit(0).alias("r"), F.lit(1).alias("p")).distinct()
-    pairs = real.unionByName(said).groupBy("s1_id", "cand_id").agg(F.max("r").alias("r"), F.max("p").alias("p"))
-    counts = pairs.groupBy("s1_id").agg(F.sum(F.col("r") * F.col("p")).alias("tp"), F.sum("p").alias("pp"), F.sum("r").alias("rp"))
-    return entities.select("s1_id").distinct().join(counts, "s1_id", "left").fillna(0, ["tp", "pp", "rp"])
+    # Each entity's ids as a set, so that pairs are dealt by entity only; structs keep null ids.
+    ids = lambda pairs, name: pairs.groupBy("s1_id").agg(F.collect_set(F.struct("cand_id")).alias(name))
+    sets = entities.select("s1_id").distinct().join(ids(truth, "r"), "s1_id", "left").join(ids(predicted, "p"), "s1_id", "left")
+    n = lambda found: F.when(found.isNull(), 0).otherwise(F.size(found)).cast("bigint")
+    return sets.select("s1_id", n(F.array_intersect("p", "r")).alias("tp"), n(F.col("p")).alias("pp"), n(F.col("r")).alias("rp"))
 
 
 def entity_metrics(counts: DataFrame) -> DataFrame:

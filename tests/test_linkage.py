@@ -168,9 +168,9 @@ def test_threshold_curve_equals_one_pass_for_each_point(spark):
 
 
 def test_labels_and_counts_deal_pairs_by_entity_only(spark, capsys):
-    _, truth, found = case(spark)
+    entities, truth, found = case(spark)
     frames = [labels.labelled(found, truth), labels.positives(found, truth), labels.negatives(found, truth)]
-    for frame in frames:
+    for frame in [*frames, evaluation.entity_counts(entities, truth, found)]:
         capsys.readouterr()
         frame.explain()
         dealt = [x.split("hashpartitioning(")[1].split(")")[0] for x in capsys.readouterr().out.splitlines() if "hashpartitioning(" in x]
