@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.config import Settings
 from tessera.operators.evaluation import f05
+from tessera.operators.labels import labelled
 
 METRICS = ("f05", "f1", "precision", "recall")
 
@@ -26,7 +27,7 @@ def curve(scores: DataFrame, truth: DataFrame, entities: DataFrame, settings: Se
     step and added up over the grid's few rows. No pair and no entity is repeated for every step.
     """
     points = grid(scores.sparkSession, settings)
-    known = truth.select("s1_id", "cand_id", F.lit(1).alias("t")).distinct()
+    known = truth.select("s1_id", "cand_id").distinct()
     real = entities.select("s1_id").distinct().join(known.groupBy("s1_id").agg(F.count(F.lit(1)).alias("rp")), "s1_id", "left").fillna(0, ["rp"])
     first = settings.threshold_first
     step = (first + settings.threshold_step) - first
@@ -35,8 +36,8 @@ def curve(scores: DataFrame, truth: DataFrame, entities: DataFrame, settings: Se
     placed = scores.select("s1_id", "cand_id", "proba", F.floor((F.col("proba") - first) / step).alias("at"))
     reached = F.when(value(F.col("at") + 1) <= F.col("proba"), F.col("at") + 1).when(value(F.col("at")) > F.col("proba"), F.col("at") - 1).otherwise(F.col("at"))
     reached = F.least(reached, F.lit(settings.threshold_points - 1)).cast("int")
-    pairs = placed.select("s1_id", "cand_id", reached.alias("step")).where("step >= 0").join(known, ["s1_id", "cand_id"], "left")
-    steps = pairs.groupBy("s1_id", "step").agg(F.count(F.lit(1)).alias("pp"), F.count("t").alias("tp")).join(real, "s1_id")
+    pairs = labelled(placed.select("s1_id", "cand_id", reached.alias("step")).where("step >= 0"), known)
+    steps = pairs.groupBy("s1_id", "step").agg(F.count(F.lit(1)).alias("pp"), F.sum("label").alias("tp")).join(real, "s1_id")
     down = Window.partitionBy("s1_id").orderBy(F.desc("step"))
     held = steps.select("s1_id", "step", "rp", F.sum("pp").over(down).alias("pp"), F.sum("tp").over(down).alias("tp"), F.lead("step", 1, -1).over(down).alias("below"))
     none = F.when(F.col("rp") == 0, 1.0).otherwise(0.0)
