@@ -4,6 +4,8 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +77,34 @@ def test_ties_leave_a_block_as_k_rows(spark):
     assert sorted(r["cand_id"] for r in found) == [f"S2-{i}" for i in range(100, 110)]
 
 
+def test_tiles_of_a_block_equal_brute_force(monkeypatch):
+    rng = random.Random(5)
+    texts = [f"customer {rng.randrange(10**6):06d}" for _ in range(150)]
+    texts += texts[60:100]
+    grams = sorted({g for t in texts for g in grams_of(t)})
+    number, vectors = {g: k for k, g in enumerate(grams)}, plain_vectors(texts)
+    cells = [sorted((number[g], w) for g, w in v.items()) for v in vectors]
+    sides = ["S1"] * 37 + ["S2"] * (len(texts) - 37)
+    block = pa.table({"country": ["c"] * len(texts), "key": [str(i) for i in range(len(texts))], "ids": [[f"{i:03d}"] for i in range(len(texts))], "source": sides, "field": ["name"] * len(texts)})
+    block = block.append_column("grams", pa.array([[g for g, _ in c] for c in cells], pa.list_(pa.int64()))).append_column("weights", pa.array([[w for _, w in c] for c in cells], pa.list_(pa.float64())))
+    dot = lambda a, b: sum(w * b.get(g, 0.0) for g, w in a.items())
+    expected = {}
+    for q in range(37):
+        scores = sorted((-round(dot(vectors[q], vectors[p]), 9), f"{p:03d}") for p in range(37, len(texts)))
+        expected[str(q)] = [(i, -s) for s, i in scores[:4] if -s >= 0.05]
+    wide = []
+    monkeypatch.setattr(blocking.np, "ix_", lambda *a, f=np.ix_: wide.append(a) or f(*a))
+    for tile in ((128, 32_768), (5, 16)):
+        monkeypatch.setattr(blocking, "TILE", tile)
+        monkeypatch.setattr(blocking, "SLAB", 3)
+        monkeypatch.setattr(blocking, "FIRST", 8)
+        found = defaultdict(list)
+        for r in blocking._block(block, 4, 0.05).to_pylist():
+            found[r["key"]].append((r["ids"][0], round(r["score"], 9)))
+        assert {k: sorted(v, key=lambda x: (-x[1], x[0])) for k, v in found.items()} == expected
+    assert not wide  # no step for each gram of a tile
+
+
 def test_each_text_is_scored_once_for_all_records_that_have_it(spark):
     rows = [(f"{r[0]}{copy}", *r[1:]) for r in records() for copy in range(4)]
     df = normalized(spark, rows).repartition(3)
