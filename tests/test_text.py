@@ -39,6 +39,13 @@ def test_names_and_addresses(spark):
     assert column(spark, ADDRESSES, text.normalize_address("x")) == list(ADDRESSES.values())
 
 
+def test_a_text_is_normalised_once_in_a_batch(spark):
+    assert text.normal_form("A-b\x1cInc_ Inc\x0bÉ", text.NAME_WORDS) == "a b inc_ incorporated e"
+    assert text.normal_form("Fl. the St", text.ADDRESS_WORDS, frozenset(text.ADDRESS_DROPPED)) == "street"
+    plan = spark.createDataFrame([("x",)], "x string").select(text.normalize_address("x"))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "regexp_replace" not in plan and "transform" not in plan
+
+
 def test_tables_have_no_replacement_that_is_a_key():
     for table in (text.NAME_WORDS, text.ADDRESS_WORDS):
         assert all(w not in table or table[w] == w for v in table.values() for w in v.split())
